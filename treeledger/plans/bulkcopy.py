@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from treeledger.functions import paths as P
 from treeledger.plans.copying import copy_plan
-from treeledger.plans.writing import create_folders, stage_files
+from treeledger.plans.writing import create_folders
+from treeledger.schema import FILE, FOLDER, NODE_COLUMNS, byte_length
+from treeledger.sources.store import stored
 from treeledger.sources.tree import read_chunks, write_tree
-from treeledger.streaming.content import commit_files, overwrite_files, read_content
+from treeledger.streaming.content import read_content
 
 
 class Copied(NamedTuple):
@@ -24,65 +26,78 @@ class Copied(NamedTuple):
 def bulk_copy(nodes: DataFrame, contents: DataFrame, source: str, destination: str) -> Copied:
     """Copy every file that :func:`copy_plan` marks ``copy`` or ``overwrite``.
 
-    Folders are made first, then files are staged, read and committed. A file whose bytes are
-    missing or empty is reported and not made. Each file's bytes pass through one read join and one
-    write join; everything else runs on narrow rows.
+    Missing folders are made, files are placed in them, and all of that is settled and stored as
+    narrow tables before any byte moves; then one join on the source id takes the bytes across. A
+    file to be made whose bytes are missing or empty is reported as ``no_data`` and not made;
+    overwriting with empty bytes truncates. Sizes come from the bytes, not from the plan.
     """
-    plan = copy_plan(nodes, source, destination)
-    here = plan.withColumn("world", F.lit(source))
-    fetched = read_content(here.where(F.col("action").isin("copy", "overwrite")), contents)
     target = F.lit(destination).alias("world")
-
-    missing = plan.where("action = 'copy'").select(
-        "location_path", P.parent_location(F.col("location_path")).alias("folder")
+    have = contents.where(F.col("world") == source)
+    plan = stored(
+        copy_plan(nodes, source, destination).join(
+            have.select("node_id", byte_length(have).alias("bytes")), "node_id", "left"
+        ),
+        "plan",
     )
-    folders, _ = create_folders(missing.select(target, F.col("folder").alias("path")), nodes)
-    there = nodes.where(F.col("world") == destination).unionByName(folders)
-    folder_ids = there.where("type = 'folder'").select(
-        F.col("location_path").alias("folder"), F.col("node_id").alias("parent_id")
+    moving = plan.where(
+        ((F.col("action") == "copy") & (F.col("bytes") > 0))
+        | ((F.col("action") == "overwrite") & F.col("bytes").isNotNull())
     )
-    placed = missing.join(folder_ids, "folder").select(
-        "location_path", "parent_id", P.last_segment(F.col("location_path")).alias("name")
+    created = moving.where("action = 'copy'").withColumn(
+        "parent_path", P.parent_location(F.col("location_path"))
     )
-    sizes = plan.select("location_path", "size")
-    staged = stage_files(
-        placed.join(sizes, "location_path").select(
-            target, "parent_id", "name", "size",
-            F.create_map().cast("map<string,string>").alias("metadata"),
-        ),
-        there,
+    folders, _ = create_folders(created.select(target, F.col("parent_path").alias("path")), nodes)
+    folders = stored(folders, "folders")
+    parents = (
+        nodes.where((F.col("world") == destination) & (F.col("type") == FOLDER))
+        .unionByName(folders)
+        .select(F.col("location_path").alias("parent_path"), F.col("node_id").alias("parent_id"))
     )
-    readable = fetched.where("status = 'ok'")
-    committed = commit_files(
-        staged,
-        readable.where("action = 'copy'").join(placed, "location_path").select(
-            target, "parent_id", "name", F.lit(0).alias("commit_seq"), "content"
-        ),
-        there,
+    new_files = created.join(parents, "parent_path").select(
+        target,
+        P.node_key(F.col("location_path")).alias("node_id"),
+        "parent_id",
+        "parent_path",
+        P.last_segment(F.col("location_path")).alias("name"),
+        "location_path",
+        F.current_timestamp().alias("last_updated"),
+        P.depth_of(F.col("location_path")).cast("int").alias("depth_level"),
+        F.col("bytes").alias("size"),
+        F.lit(FILE).alias("type"),
     )
-    overwritten = overwrite_files(
-        readable.where("action = 'overwrite'").select(
-            target, F.col("dst_node_id").alias("node_id"), F.lit(0).alias("write_seq"), "content"
-        ),
-        nodes,
+    changed = (
+        nodes.where(F.col("world") == destination)
+        .join(
+            moving.where("action = 'overwrite'").select(
+                F.col("dst_node_id").alias("node_id"), "bytes"
+            ),
+            "node_id",
+        )
+        .withColumns({"size": F.col("bytes"), "last_updated": F.current_timestamp()})
+        .select(*NODE_COLUMNS)
     )
+    ids = moving.select(
+        F.lit(source).alias("world"),
+        "node_id",
+        F.coalesce("dst_node_id", P.node_key(F.col("location_path"))).alias("_to"),
+    )
+    moved = read_content(ids, have).select(target, F.col("_to").alias("node_id"), "content")
 
-    done = committed.nodes.select("location_path", F.lit("copied").alias("_done")).unionByName(
-        overwritten.nodes.select("location_path", F.lit("overwritten").alias("_done"))
+    moves = F.col("bytes").isNotNull() & (
+        (F.col("bytes") > 0) | (F.col("action") == "overwrite")
     )
-    status = plan.join(done, "location_path", "left").select(
-        "location_path",
-        "action",
+    outcome = (
         F.when(F.col("action") == "skip", "skipped")
         .when(F.col("action") == "conflict", "conflict")
-        .otherwise(F.coalesce("_done", F.lit("no_data")))
-        .alias("status"),
+        .when(~moves, "no_data")
+        .when(F.col("action") == "copy", "copied")
+        .otherwise("overwritten")
     )
     return Copied(
-        folders.unionByName(committed.nodes),
-        overwritten.nodes,
-        committed.contents.unionByName(overwritten.contents),
-        status,
+        folders.unionByName(new_files),
+        changed,
+        moved,
+        plan.select("location_path", "action", outcome.alias("status")),
     )
 
 

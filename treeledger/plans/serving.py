@@ -8,6 +8,7 @@ from treeledger.operators.listing import validate_parents
 from treeledger.operators.paging import HOT_ROWS, page_info, window_children
 from treeledger.operators.routing import resolve_requests
 from treeledger.schema import LOCAL
+from treeledger.sources.store import stored
 
 
 def check_requests(
@@ -36,9 +37,10 @@ def serve_listing(
 
     Rows of mounted trees get logical paths relative to the root of the service that served them;
     rows of catalogs get their stored paths in normal form. Info has one row per request, with
-    empty totals where ``status`` is not ``ok``.
+    empty totals where ``status`` is not ``ok``. The checked requests are stored once, since both
+    results and every step of them start there.
     """
-    checked = check_requests(requests, services, sessions, nodes)
+    checked = stored(check_requests(requests, services, sessions, nodes), "requests")
     valid = checked.where("status = 'ok'")
 
     listed = window_children(valid, nodes, hot_rows)

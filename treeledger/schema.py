@@ -1,5 +1,7 @@
 """Table layouts shared by every operator."""
 
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NODES = T.StructType([
@@ -35,3 +37,10 @@ MAX_LIMIT = 1000
 COPY_BUFFER_BYTES = 8 * 1024 * 1024
 SPILL_BYTES = 10 * 1024 * 1024
 PENDING_PREFIX = "pending:"
+
+
+def byte_length(rows: DataFrame) -> Column:
+    """``length`` of the bytes: the stored one where there is one, else counted."""
+    if "length" in rows.columns:
+        return F.col("length")
+    return F.coalesce(F.octet_length("content"), F.lit(0)).cast("bigint").alias("length")

@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from treeledger.functions import paths as P
-from treeledger.schema import CONTENTS, NODE_COLUMNS, NODES
+from treeledger.schema import CONTENTS, NODE_COLUMNS, NODES, byte_length
 
-_STORED_CONTENTS = T.StructType([*CONTENTS.fields, T.StructField("bucket", T.IntegerType())])
+# ``length`` is stored beside the bytes, so that sizes can be read without them.
+_STORED_CONTENTS = T.StructType([
+    *CONTENTS.fields, T.StructField("length", T.LongType()), T.StructField("bucket", T.IntegerType()),
+])
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
@@ -32,6 +35,17 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def stored(rows: DataFrame, purpose: str) -> DataFrame:
+    """The same rows read back from a table in the shared folder.
+
+    For narrow intermediate results with several uses: they are computed once, outlive lost
+    executors, and their size is known when the joins on them are planned.
+    """
+    path = shared_dir(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def write_nodes(nodes: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Range partitioned on the listing order, so a large folder spreads over many files."""
     (
@@ -67,7 +81,7 @@ def with_bucket(contents: DataFrame, buckets: int) -> DataFrame:
 def write_contents(contents: DataFrame, path: str, buckets: int) -> None:
     """A new content store. ``buckets`` is fixed for its life; size it for buckets of about 256 MB."""
     (
-        with_bucket(contents.select(*CONTENTS.fieldNames()), buckets)
+        with_bucket(contents.select(*CONTENTS.fieldNames(), byte_length(contents)), buckets)
         .repartition("world", "bucket")
         .write.partitionBy("world", "bucket")
         .parquet(path)

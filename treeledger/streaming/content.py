@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treeledger.functions import paths as P
-from treeledger.schema import CONTENTS, FILE, NODE_COLUMNS
+from treeledger.schema import CONTENTS, FILE, NODE_COLUMNS, byte_length
 
 CONTENT_KEY = ["world", "node_id"]
 HANDLE = ["world", "parent_id", "name"]
@@ -45,7 +45,7 @@ def commit_files(staged: DataFrame, writes: DataFrame, nodes: DataFrame) -> Writ
     ``commit_seq`` is unique within a handle.
     """
     attempts = writes.select(
-        *HANDLE, "commit_seq", F.coalesce(F.octet_length("content"), F.lit(0)).alias("_bytes")
+        *HANDLE, "commit_seq", byte_length(writes).alias("_bytes")
     )
     first = (
         attempts.where("_bytes > 0")
@@ -103,7 +103,7 @@ def overwrite_files(writes: DataFrame, nodes: DataFrame) -> Written:
     in place and rewrites no other bucket. ``write_seq`` is unique within an id.
     """
     attempts = writes.select(
-        *CONTENT_KEY, "write_seq", F.coalesce(F.octet_length("content"), F.lit(0)).alias("_bytes")
+        *CONTENT_KEY, "write_seq", byte_length(writes).alias("_bytes")
     )
     latest = attempts.groupBy(*CONTENT_KEY).agg(F.max("write_seq").alias("_latest"))
     targets = latest.join(nodes, CONTENT_KEY, "left").select(
