@@ -136,7 +136,7 @@ def raw_nodes(spark, folder) -> DataFrame:
     )
     edges = [
         "", "   ", "/", "//a///b/", "a/b", "\\a\\b", "a\\..\\b", "/../../x", "./a/./b", "/a/../..",
-        "...", "/.../x", "a/../../b", "../..", "\t/t\t", " n　", "​z", "/é/ü",
+        "...", "/.../x", "a/../../b", "../..", "\t/t\t", "\u00a0n\u3000", "\u200bz", "/é/ü",
         "/home/user2/x", "a/", "\\", "/a\\/b",
     ]
     odd = spark.createDataFrame([(e,) for e in edges], "p string").select(
