@@ -4,7 +4,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treeledger.functions import paths as P
-from treeledger.schema import NODE_COLUMNS
+from treeledger.schema import NODE_COLUMNS, NODES
+from treeledger.sources.store import shared_dir, write_nodes
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,10 +38,10 @@ def _level(rows, parent, name, kind, size, stamp, depth, ck, fk) -> DataFrame:
     )
 
 
-def star_nodes(spark: SparkSession, folder: str, local: bool = False) -> DataFrame:
+def build_star_nodes(spark: SparkSession, folder: str) -> DataFrame:
     """Regions, nations and customers as folders, suppliers and orders as files, in the worlds
-    ``primary`` and ``s1`` (and ``local``, mounted at ``/data``). Rows are built once and then
-    given to their worlds."""
+    ``primary``, ``s1`` and ``local`` (``primary`` again, mounted at ``/data``). Rows are built once
+    and then given to their worlds."""
     geo = _geography(spark, folder)
     c, z, n = F.col, F.lit(0), F.lit(None)
     customer = table(spark, folder, "customer").join(geo, c("c_nationkey") == c("nk"))
@@ -76,7 +77,7 @@ def star_nodes(spark: SparkSession, folder: str, local: bool = False) -> DataFra
         )
     )
     in_s1 = ((c("ck") == 0) | (c("ck") % 3 != 0)) & ((c("fk") == 0) | (c("fk") % 5 != 0))
-    worlds = [F.lit("primary"), F.when(in_s1, "s1")] + ([F.lit("local")] if local else [])
+    worlds = [F.lit("primary"), F.when(in_s1, "s1"), F.lit("local")]
     mounted = c("world") == "local"
 
     def physical(path):
@@ -88,8 +89,6 @@ def star_nodes(spark: SparkSession, folder: str, local: bool = False) -> DataFra
     rows = rows.withColumn(
         "size", F.when((c("world") == "s1") & (c("fk") % 7 == 1), c("size") + 1).otherwise(c("size"))
     )
-    if not local:
-        return rows.select(*NODE_COLUMNS)
     rows = rows.withColumns({
         "node_id": F.when(mounted, physical(c("location_path"))).otherwise(c("node_id")),
         "parent_id": F.when(mounted & (c("location_path") == "/"), "/")
@@ -110,6 +109,25 @@ def star_nodes(spark: SparkSession, folder: str, local: bool = False) -> DataFra
     return rows.select(*NODE_COLUMNS).unionByName(outside)
 
 
+_NODE_STORES: dict[tuple[str, str], str] = {}
+
+
+def node_store(spark: SparkSession, folder: str) -> str:
+    """Path of a node store with all of :func:`build_star_nodes`, written once per session."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _NODE_STORES:
+        path = shared_dir(spark, "nodes")
+        write_nodes(build_star_nodes(spark, folder), path)
+        _NODE_STORES[key] = path
+    return _NODE_STORES[key]
+
+
+def star_nodes(spark: SparkSession, folder: str, local: bool = False) -> DataFrame:
+    """The worlds ``primary`` and ``s1`` of the node store, and ``local`` if asked for."""
+    nodes = spark.read.schema(NODES).parquet(node_store(spark, folder)).select(*NODE_COLUMNS)
+    return nodes if local else nodes.where(F.col("world") != "local")
+
+
 def document_nodes(spark: SparkSession, folder: str) -> DataFrame:
     """Files ``/{source}/{lang}/{doc_id}.txt`` with ``content``: world ``primary`` holds all, ``s1``
     lacks every third and has a longer text in every fifth."""

@@ -70,27 +70,23 @@ def service_dimension(raw: DataFrame) -> DataFrame:
 def _service_index(services: DataFrame) -> DataFrame:
     """Everything a request can ask for by ``(via, key)``: an id, a catalog world, or any local
     service without its root restriction. Where several fit, the smallest id serves."""
+    kind = F.col("kind")
     found = F.struct("service_id", "kind", "root_path", "world", "root_id", "config_path")
-    by_id = services.select(
-        F.lit("id").alias("via"), F.col("service_id").alias("key"), found.alias("found")
-    )
-    by_world = (
-        services.where(F.col("kind") == CATALOG)
-        .groupBy(F.col("world").alias("key"))
-        .agg(F.min_by(found, "service_id").alias("found"))
-        .select(F.lit("world").alias("via"), "key", "found")
-    )
-    any_local = (
-        services.where(F.col("kind") == LOCAL)
-        .groupBy(F.lit(LOCAL).alias("key"))
-        .agg(F.min_by(found, "service_id").alias("found"))
-        .select(
-            F.lit("kind").alias("via"),
-            "key",
-            F.col("found").withField("root_path", F.lit(None).cast("string")).alias("found"),
-        )
+
+    def entry(via, key, row):
+        return F.struct(F.lit(via).alias("via"), key.alias("key"), row.alias("found"))
+
+    unrestricted = found.withField("root_path", F.lit(None).cast("string"))
+    entries = F.array_compact(F.array(
+        entry("id", F.col("service_id"), found),
+        F.when(kind == CATALOG, entry("world", F.col("world"), found)),
+        F.when(kind == LOCAL, entry("kind", F.lit(LOCAL), unrestricted)),
+    ))
+    return (
+        services.select(F.inline(entries))
+        .groupBy("via", "key")
+        .agg(F.min_by("found", F.col("found.service_id")).alias("found"))
     )
-    return by_id.unionByName(by_world).unionByName(any_local)
 
 
 def resolve_requests(requests: DataFrame, services: DataFrame, sessions: DataFrame) -> DataFrame:

@@ -329,6 +329,7 @@ def oracle_sql() -> dict[str, str]:
             CAST(size AS BIGINT) AS size, type FROM ({doc_nodes})
           WHERE world = 'primary' AND location_path <> '/'""",
         "scan_nodes": _with(NODES) + f"SELECT {NODE_OUT} FROM nodes WHERE world = 's1'",
+        "write_nodes": _with(NODES) + f"SELECT {NODE_OUT} FROM nodes",
         "read_content": _with(DOCS) + """SELECT a.world, a.node_id,
             CASE WHEN f.node_id IS NULL THEN 'not_found' ELSE 'ok' END AS status,
             CAST(f.size AS BIGINT) AS bytes, f.digest

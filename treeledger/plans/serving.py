@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from treeledger.functions import paths as P
 from treeledger.operators.listing import validate_parents
 from treeledger.operators.paging import HOT_ROWS, page_info, window_children
+from treeledger.operators.pathjobs import normalize_nodes
 from treeledger.operators.routing import resolve_requests
 from treeledger.schema import LOCAL
 from treeledger.sources.store import stored
@@ -41,26 +42,20 @@ def serve_listing(
     results and every step of them start there.
     """
     checked = stored(check_requests(requests, services, sessions, nodes), "requests")
-    valid = checked.where("status = 'ok'")
-
-    listed = window_children(valid, nodes, hot_rows)
-    roots = valid.where(F.col("kind") == LOCAL).select(
-        "request_id", F.coalesce("root", F.lit("/")).alias("_root")
-    )
-    relative = P.relative_parent(F.col("parent_id"), F.col("_root"))
-    is_local = F.col("world") == LOCAL
-    rows = (
-        listed.join(roots, "request_id", "left")
-        .withColumns({
-            "parent_path": F.when(is_local, relative).otherwise(
-                P.normalize_parent(F.col("parent_path"))
-            ),
-            "location_path": F.when(
-                is_local, P.child_location(relative, F.col("name"))
-            ).otherwise(P.normalize_location(F.col("location_path"))),
-        })
-        .drop("_root")
+    root = F.coalesce("root", F.lit("/"))
+    valid = checked.where("status = 'ok'").withColumn(
+        "_listed_at",
+        F.when(F.col("kind") == LOCAL, P.relative_parent(F.col("parent_id"), root)),
     )
+    # Paths are worked out once per node and once per request, not for every row handed out.
+    listed = window_children(valid, normalize_nodes(nodes), hot_rows, carry=("_listed_at",))
+    mounted = F.col("_listed_at").isNotNull()
+    rows = listed.withColumns({
+        "parent_path": F.coalesce("_listed_at", "parent_path"),
+        "location_path": F.when(
+            mounted, P.child_location(F.col("_listed_at"), F.col("name"))
+        ).otherwise(F.col("location_path")),
+    }).drop("_listed_at")
     info = checked.select("request_id", "served_by", "status").join(
         page_info(valid, nodes), "request_id", "left"
     )

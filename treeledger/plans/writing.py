@@ -5,23 +5,27 @@ from pyspark.sql import functions as F
 
 from treeledger.functions import paths as P
 from treeledger.schema import FILE, FOLDER, NODE_COLUMNS, PENDING_PREFIX
+from treeledger.sources.store import stored
 
 
 def create_folders(wanted: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(new nodes, status)`` for wanted folders ``(world, path)``.
 
     Missing ancestors are made too, existing folders are no error, and a path that runs through a
-    file is refused as ``not_folder`` without making anything for it.
+    file is refused as ``not_folder`` without making anything for it. The distinct paths, and the
+    folders on the way to them, are stored since several steps use them.
     """
-    paths = wanted.select(
-        "world", P.normalize_location(F.col("path")).alias("path")
-    ).distinct()
+    paths = stored(
+        wanted.select("world", P.normalize_location(F.col("path")).alias("path")).distinct(), "paths"
+    )
     steps = paths.withColumn("step", F.explode(P.prefixes(F.col("path"))))
     existing = nodes.select(
         "world", F.col("location_path").alias("step"), F.col("type").alias("_type"),
         F.col("node_id").alias("_id"),
     )
-    known = steps.select("world", "step").distinct().join(existing, ["world", "step"], "left")
+    known = stored(
+        steps.select("world", "step").distinct().join(existing, ["world", "step"], "left"), "steps"
+    )
 
     blocked = (
         steps.join(known.where(F.col("_type") == FILE), ["world", "step"])

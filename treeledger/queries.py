@@ -8,7 +8,7 @@ from treeledger.functions import paths as P
 from treeledger.operators import listing, nodes, paging, pathjobs, routing
 from treeledger.oracles import RELOCATE_ROOT
 from treeledger.plans import bulkcopy, copying, serving, writing
-from treeledger.schema import NODE_COLUMNS
+from treeledger.schema import NODE_COLUMNS, NODES
 from treeledger.sources import store, tree
 from treeledger.streaming import content
 
@@ -93,10 +93,11 @@ def scan_tree(spark, folder) -> DataFrame:
     )
 
 
-def scan_nodes(spark, folder) -> DataFrame:
+def write_nodes(spark, folder) -> DataFrame:
+    """A new node store from the given tables, read back whole."""
     path = store.shared_dir(spark, "nodes")
-    store.write_nodes(X.star_nodes(spark, folder), path)
-    return store.scan_nodes(spark, path, "s1").select(*_shown())
+    store.write_nodes(X.build_star_nodes(spark, folder), path)
+    return spark.read.schema(NODES).parquet(path).where("world <> 'local'").select(*_shown())
 
 
 def read_content(spark, folder) -> DataFrame:
@@ -350,7 +351,8 @@ def split_nodes(spark, folder) -> DataFrame:
 QUERIES = {
     "flagship": flagship,
     "scan_tree": scan_tree,
-    "scan_nodes": scan_nodes,
+    "write_nodes": write_nodes,
+    "scan_nodes": lambda s, d: store.scan_nodes(s, X.node_store(s, d), "s1").select(*_shown()),
     "read_content": read_content,
     "write_tree": write_tree,
     "copy_tree": copy_tree,
