@@ -99,6 +99,13 @@ def test_depth_compat(spark):
     assert [r.depth_level for r in with_depth(rows).orderBy("world").collect()] == [2, 2]
 
 
+def test_very_long_paths(spark):
+    long = "/a" * 20_000
+    got = columns(spark, [long, long + "/", "a" + long], location=P.normalize_location, depth=P.depth_of)
+    assert [r.location for r in got] == [long, long, "/a" + long]
+    assert got[0].depth == 20_000
+
+
 def test_prefixes(spark):
     got = columns(spark, ["/", "/a/b"], steps=P.prefixes)
     assert [r.steps for r in got] == [["/"], ["/", "/a", "/a/b"]]

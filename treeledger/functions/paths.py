@@ -16,10 +16,6 @@ WHITE_SPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# A path without such a segment is already clean, which is the usual case at scale.
-_NEEDS_CLEANING = r"^$|^\.{1,2}(/|$)|/\.{0,2}(/|$)"
-
-
 def text(value: Column | str) -> Column:
     """A Python string becomes a literal, a column stays as it is."""
     return value if isinstance(value, Column) else F.lit(value)
@@ -42,6 +38,27 @@ def forward_slashes(value: Column) -> Column:
     return F.replace(value, F.lit("\\"), F.lit("/"))
 
 
+def _odd_segments(path: Column) -> Column:
+    """True where a path holds an empty, ``.`` or ``..`` segment. Substring tests decide for almost
+    all paths; the pattern runs only where some segment starts with a dot."""
+    dotted = path.startswith(".") | path.contains("/.")
+    return (
+        (path == "")
+        | path.endswith("/")
+        | path.contains("//")
+        | (dotted & path.rlike(r"(?:\A|/)\.{1,2}(?:/|\z)"))
+    )
+
+
+def _is_normal_location(path: Column) -> Column:
+    return (
+        path.startswith("/")
+        & ~path.contains("\\")
+        & ~F.right(path, F.lit(1)).isin(*WHITE_SPACE)
+        & ~_odd_segments(path)
+    )
+
+
 def clean(path: Column) -> Column:
     """Shortest path with the same meaning, judged from the text alone; empty becomes ``.``.
 
@@ -61,19 +78,22 @@ def clean(path: Column) -> Column:
     cleaned = (
         F.when(rooted, F.concat(F.lit("/"), body)).when(body == "", ".").otherwise(body)
     )
-    return F.when(path.rlike(_NEEDS_CLEANING), cleaned).otherwise(path)
+    return F.when(_odd_segments(path), cleaned).otherwise(path)
 
 
 def normalize_location(path: Column) -> Column:
     """Logical form: trimmed, forward slashes, rooted, no empty or dot segments."""
     slashed = forward_slashes(trim_space(filled(path)))
-    return clean(F.regexp_replace(slashed, "^(?!/)", "/"))
+    return F.when(_is_normal_location(path), path).otherwise(
+        clean(F.regexp_replace(slashed, "^(?!/)", "/"))
+    )
 
 
 def normalize_parent(path: Column) -> Column:
     """As :func:`normalize_location`, but the empty parent of a root stays empty (or NULL)."""
     return (
         F.when(path.isNull(), None)
+        .when(_is_normal_location(path), path)
         .when(trim_space(path) == "", "")
         .otherwise(normalize_location(path))
     )
