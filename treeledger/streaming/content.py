@@ -1,7 +1,8 @@
 """File bytes in bulk.
 
-Who wins, what exists and what is refused is always decided on narrow rows without bytes; bytes are
-joined last, once, on a unique key.
+Who wins, what exists and what is refused is decided on narrow rows without bytes, which are stored
+before they are used several times: one pass over the bytes takes their lengths (none where the
+writes bring a ``length`` column), one more join takes the bytes across, on a unique key.
 """
 
 from typing import NamedTuple
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from treeledger.functions import paths as P
 from treeledger.schema import CONTENTS, FILE, NODE_COLUMNS, byte_length
+from treeledger.sources.store import stored
 
 CONTENT_KEY = ["world", "node_id"]
 HANDLE = ["world", "parent_id", "name"]
@@ -44,8 +46,8 @@ def commit_files(staged: DataFrame, writes: DataFrame, nodes: DataFrame) -> Writ
     folder already holds (``already_exists``). The size of the new node is that of its bytes.
     ``commit_seq`` is unique within a handle.
     """
-    attempts = writes.select(
-        *HANDLE, "commit_seq", byte_length(writes).alias("_bytes")
+    attempts = stored(
+        writes.select(*HANDLE, "commit_seq", byte_length(writes).alias("_bytes")), "attempts"
     )
     first = (
         attempts.where("_bytes > 0")
@@ -65,13 +67,18 @@ def commit_files(staged: DataFrame, writes: DataFrame, nodes: DataFrame) -> Writ
         .join(taken.withColumn("_taken", F.lit(True)), HANDLE, "left")
         .join(first, HANDLE, "left")
     )
-    judged = attempts.join(handles, HANDLE, "left").withColumn(
-        "status",
+    status = (
         F.when(F.col("_stub").isNull(), "not_staged")
         .when(F.col("_bytes") == 0, "empty_data")
         .when(F.col("_taken"), "already_exists")
         .when(F.col("commit_seq") != F.col("_first"), "no_op")
-        .otherwise("committed"),
+        .otherwise("committed")
+    )
+    judged = stored(
+        attempts.join(handles, HANDLE, "left").select(
+            *HANDLE, "commit_seq", "_bytes", "_stub", status.alias("status")
+        ),
+        "judged",
     )
     won = judged.where("status = 'committed'").select(
         "world",
@@ -102,19 +109,24 @@ def overwrite_files(writes: DataFrame, nodes: DataFrame) -> Written:
     truncate. The outcome holds the changed rows only; ``sources.store.replace_contents`` puts them
     in place and rewrites no other bucket. ``write_seq`` is unique within an id.
     """
-    attempts = writes.select(
-        *CONTENT_KEY, "write_seq", byte_length(writes).alias("_bytes")
+    attempts = stored(
+        writes.select(*CONTENT_KEY, "write_seq", byte_length(writes).alias("_bytes")), "attempts"
     )
     latest = attempts.groupBy(*CONTENT_KEY).agg(F.max("write_seq").alias("_latest"))
     targets = latest.join(nodes, CONTENT_KEY, "left").select(
         *CONTENT_KEY, "_latest", F.struct(*NODE_COLUMNS).alias("_node")
     )
-    judged = attempts.join(targets, CONTENT_KEY, "left").withColumn(
-        "status",
+    status = (
         F.when(F.col("_node.type").isNull(), "not_found")
         .when(F.col("_node.type") != FILE, "not_file")
         .when(F.col("write_seq") != F.col("_latest"), "superseded")
-        .otherwise("written"),
+        .otherwise("written")
+    )
+    judged = stored(
+        attempts.join(targets, CONTENT_KEY, "left").select(
+            *CONTENT_KEY, "write_seq", "_bytes", "_node", status.alias("status")
+        ),
+        "judged",
     )
     won = judged.where("status = 'written'")
     changed = won.select("_node", "_bytes").select("_node.*", "_bytes").withColumns({
