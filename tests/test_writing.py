@@ -94,6 +94,23 @@ def test_overwrite_rewrites_only_touched_buckets(spark, tmp_path):
     assert len({os.path.dirname(f) for f in set(before) - set(after)}) == 1
 
 
+@pytest.mark.parametrize("most", [10_000, 1])
+def test_stored_reads_and_wide_replacements(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(store, "_MOST_LISTED", most)
+    path = str(tmp_path / "contents")
+    rows = [(w, f"n{i}", f"{w}{i}".encode()) for w in ("v", "w") for i in range(40)]
+    old = spark.createDataFrame(rows, "world string, node_id string, content binary")
+    store.write_contents(old, path, 8)
+    asked = spark.createDataFrame([("w", "n1"), ("w", "n2"), ("v", "no")], "world string, node_id string")
+    got = content.read_stored(asked, path, 8)
+    assert {(r.node_id, r.status, r.content and bytes(r.content)) for r in got.collect()} == {
+        ("n1", "ok", b"w1"), ("n2", "ok", b"w2"), ("no", "not_found", None)}
+    changed = spark.createDataFrame([("w", "n1", b"x"), ("w", "n7", b"y"), ("w", "n9", b"z")], old.schema)
+    store.replace_contents(spark, changed, path, 8)
+    left = {(r.world, r.node_id): bytes(r.content) for r in store.scan_contents(spark, path).collect()}
+    assert left == {(w, n): c for w, n, c in rows} | {("w", "n1"): b"x", ("w", "n7"): b"y", ("w", "n9"): b"z"}
+
+
 def test_copy_of_missing_and_empty_bytes(spark):
     def node(world, name, size, kind="file"):
         return (world, f"{world}-{name}", "root", "/", name, f"/{name}", None, 1, size, kind)

@@ -92,12 +92,19 @@ def scan_contents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(_STORED_CONTENTS).parquet(path)
 
 
-def _touched(changed: DataFrame) -> Column:
-    """Partition filter for the buckets of ``changed``: at most one entry per partition of the
-    store, and literal, so that the scan lists and reads no other partition."""
+# Above this many partitions a read filter on them is not worth its length.
+_MOST_LISTED = 10_000
+
+
+def bucket_filter(keys: DataFrame) -> Column:
+    """Partition filter for the worlds and buckets in ``keys``. What comes to the driver is at most
+    one entry per partition of the store; the filter is literal, so that the scan lists and reads no
+    other partition."""
     worlds: dict[str, list[int]] = {}
-    for world, bucket in changed.select("world", "bucket").distinct().collect():
+    for world, bucket in keys.select("world", "bucket").distinct().collect():
         worlds.setdefault(world, []).append(bucket)
+    if sum(map(len, worlds.values())) > _MOST_LISTED:
+        return F.col("world").isin(list(worlds))
     hit = F.lit(False)
     for world, buckets in worlds.items():
         hit = hit | ((F.col("world") == world) & F.col("bucket").isin(buckets))
@@ -113,9 +120,12 @@ def replace_contents(spark: SparkSession, changed: DataFrame, path: str, buckets
     pending = shared_dir(spark, "replace")
     write_contents(changed, pending, buckets)
     new = scan_contents(spark, pending)
+    touched = new.select("world", "bucket").distinct()
     kept = (
         scan_contents(spark, path)
-        .where(_touched(new))
+        .where(bucket_filter(touched))
+        # Exact again, should the filter have named worlds only.
+        .join(touched, ["world", "bucket"], "left_semi")
         .join(new.select("world", "node_id"), ["world", "node_id"], "left_anti")
     )
     (
