@@ -54,7 +54,7 @@ def _is_normal_location(path: Column) -> Column:
     return (
         path.startswith("/")
         & ~path.contains("\\")
-        & ~F.right(path, F.lit(1)).isin(*WHITE_SPACE)
+        & ~F.lit(WHITE_SPACE).contains(F.right(path, F.lit(1)))
         & ~_odd_segments(path)
     )
 

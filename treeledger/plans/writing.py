@@ -18,7 +18,8 @@ def create_folders(wanted: DataFrame, nodes: DataFrame) -> tuple[DataFrame, Data
     paths = stored(
         wanted.select("world", P.normalize_location(F.col("path")).alias("path")).distinct(), "paths"
     )
-    steps = paths.withColumn("step", F.explode(P.prefixes(F.col("path"))))
+    step = F.explode(P.prefixes(F.col("path"))).alias("step")
+    steps = paths.select("world", "path", step)
     existing = nodes.select(
         "world", F.col("location_path").alias("step"), F.col("type").alias("_type"),
         F.col("node_id").alias("_id"),
@@ -48,7 +49,7 @@ def create_folders(wanted: DataFrame, nodes: DataFrame) -> tuple[DataFrame, Data
         )
     )
 
-    allowed = steps.join(blocked, ["world", "path"], "left_anti").select("world", "step").distinct()
+    allowed = paths.join(blocked, ["world", "path"], "left_anti").select("world", step).distinct()
     missing = known.where(F.col("_type").isNull()).select("world", "step")
     made = allowed.join(missing, ["world", "step"], "left_semi").withColumn(
         "parent_path", P.parent_location(F.col("step"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from treeledger.functions import paths as P
+from treeledger.operators.pathjobs import normalize_nodes
 from treeledger.schema import CONTENTS, NODE_COLUMNS, NODES, byte_length
 
 # ``length`` is stored beside the bytes, so that sizes can be read without them.
@@ -60,16 +61,8 @@ def write_nodes(nodes: DataFrame, path: str, mode: str = "errorifexists") -> Non
 
 def scan_nodes(spark: SparkSession, path: str, world: str = "") -> DataFrame:
     """Rows of one world of a node store, with both paths in normal form."""
-    nodes = spark.read.schema(NODES).parquet(path)
-    return nodes.where(F.col("world") == P.world_name(world)).select(
-        *[
-            {
-                "parent_path": P.normalize_parent(F.col(c)),
-                "location_path": P.normalize_location(F.col(c)),
-            }.get(c, F.col(c)).alias(c)
-            for c in NODE_COLUMNS
-        ]
-    )
+    nodes = spark.read.schema(NODES).parquet(path).where(F.col("world") == P.world_name(world))
+    return normalize_nodes(nodes.select(*NODE_COLUMNS))
 
 
 def with_bucket(contents: DataFrame, buckets: int) -> DataFrame:
