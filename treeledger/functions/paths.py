@@ -156,16 +156,13 @@ def last_segment(path: Column) -> Column:
 
 
 def prefixes(path: Column) -> Column:
-    """All folders on the way to a normalised logical path, the root and the path included."""
-    segments = F.filter(F.split(path, "/"), lambda s: s != "")
-    below = F.when(
-        F.size(segments) > 0,
-        F.transform(
-            F.sequence(F.lit(1), F.size(segments)),
-            lambda i: F.concat(F.lit("/"), F.array_join(F.slice(segments, 1, i), "/")),
-        ),
-    ).otherwise(F.array().cast("array<string>"))
-    return F.concat(F.array(F.lit("/")), below)
+    """All folders on the way to a normalised rooted path, the root and the path included."""
+    slash = F.lit("/")
+    below = F.transform(
+        F.sequence(F.lit(1), depth_of(path)),
+        lambda i: F.call_function("substring_index", path, slash, i + 1),
+    )
+    return F.when(path == "/", F.array(slash)).otherwise(F.concat(F.array(slash), below))
 
 
 def depth_of(path: Column) -> Column:

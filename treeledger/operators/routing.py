@@ -68,13 +68,13 @@ def service_dimension(raw: DataFrame) -> DataFrame:
 
 
 def _service_index(services: DataFrame) -> DataFrame:
-    """Everything a request can ask for by ``(via, key)``: an id, a catalog world, or any local
+    """Everything a request can ask for by way and key: an id, a catalog world, or any local
     service without its root restriction. Where several fit, the smallest id serves."""
     kind = F.col("kind")
     found = F.struct("service_id", "kind", "root_path", "world", "root_id", "config_path")
 
     def entry(via, key, row):
-        return F.struct(F.lit(via).alias("via"), key.alias("key"), row.alias("found"))
+        return F.struct(F.lit(via).alias("_via"), key.alias("_key"), row.alias("_found"))
 
     unrestricted = found.withField("root_path", F.lit(None).cast("string"))
     entries = F.array_compact(F.array(
@@ -84,8 +84,8 @@ def _service_index(services: DataFrame) -> DataFrame:
     ))
     return (
         services.select(F.inline(entries))
-        .groupBy("via", "key")
-        .agg(F.min_by("found", F.col("found.service_id")).alias("found"))
+        .groupBy("_via", "_key")
+        .agg(F.min_by("_found", F.col("_found.service_id")).alias("_found"))
     )
 
 
@@ -106,12 +106,12 @@ def resolve_requests(requests: DataFrame, services: DataFrame, sessions: DataFra
         F.col("state").alias("_session_state"),
     )
     matched = (
-        requests.withColumns({"via": via, "key": key})
-        .join(_service_index(services), ["via", "key"], "left")
+        requests.withColumns({"_via": via, "_key": key})
+        .join(_service_index(services), ["_via", "_key"], "left")
         .join(known_sessions, F.col("session_id") == F.col("_session"), "left")
     )
 
-    found = F.col("found")
+    found = F.col("_found")
     kind = found["kind"]
     is_local = kind == LOCAL
     is_catalog = kind == CATALOG
@@ -126,8 +126,8 @@ def resolve_requests(requests: DataFrame, services: DataFrame, sessions: DataFra
     outside = is_local & (root != "") & ~P.under_root(local_target, root)
 
     status = (
-        F.when(found.isNull() & (F.col("via") == "world"), "world_not_found")
-        .when(found.isNull() & (F.col("via") == "kind"), "no_local_service")
+        F.when(found.isNull() & (F.col("_via") == "world"), "world_not_found")
+        .when(found.isNull() & (F.col("_via") == "kind"), "no_local_service")
         .when(found.isNull(), "service_not_found")
         .when(~kind.isin(LOCAL, CATALOG) | kind.isNull(), "unsupported_type")
         .when(is_catalog & (P.filled(F.col("session_id")) == ""), "session_required")

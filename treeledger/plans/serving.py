@@ -56,7 +56,12 @@ def serve_listing(
             mounted, P.child_location(F.col("_listed_at"), F.col("name"))
         ).otherwise(F.col("location_path")),
     }).drop("_listed_at")
-    info = checked.select("request_id", "served_by", "status").join(
-        page_info(valid, nodes), "request_id", "left"
+    served = F.col("status") == "ok"
+    info = page_info(checked, nodes, carry=("served_by", "status"))
+    info = info.select(
+        "request_id",
+        "served_by",
+        "status",
+        *[F.when(served, F.col(name)).alias(name) for name in info.columns[3:]],
     )
     return rows, info
