@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from treeledger.llm import ledger, urlfilter
+from treeledger.llm import ledger, simhash, urlfilter
 
 URL_RULES = [
     urlfilter.Rule("allow", "org", "/"),
@@ -36,9 +36,16 @@ def op8_url_filter(spark, folder):
     return urlfilter.filter_urls(pages, urlfilter.shared_urls(pages), URL_RULES)
 
 
+def op10_simhash(spark, folder):
+    """Fingerprint and group of every document: 3-word shingles, at most 3 differing bits."""
+    rows = simhash.simhash_groups(_table(spark, folder, "documents"), shingle=3, max_bits=3)
+    return rows.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op7_quality_rules": op7_quality_rules,
     "op8_url_filter": op8_url_filter,
+    "op10_simhash": op10_simhash,
 }
 
 OP7_SQL = r"""
