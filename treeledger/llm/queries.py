@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from treeledger.llm import ledger, simhash, urlfilter
+from treeledger.llm import ledger, mixing, packing, simhash, urlfilter
 
 URL_RULES = [
     urlfilter.Rule("allow", "org", "/"),
@@ -17,6 +17,20 @@ def _table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_packing(spark, folder):
+    """All documents, packed into sequences of at most 4096 tokens."""
+    packed = packing.pack(_table(spark, folder, "documents"))
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset",
+        "sequence_length", "step_group",
+    )
+
+
+def op5_mixing(spark, folder):
+    """All documents: how many words of each the mix takes."""
+    return mixing.mix_counts(_table(spark, folder, "documents"))
+
+
 def op7_quality_rules(spark, folder):
     """The ledger of all documents, and the verdict of the current policy."""
     rows = ledger.build_ledger(_table(spark, folder, "documents"))
@@ -43,6 +57,8 @@ def op10_simhash(spark, folder):
 
 
 QUERIES = {
+    "op2_packing": op2_packing,
+    "op5_mixing": op5_mixing,
     "op7_quality_rules": op7_quality_rules,
     "op8_url_filter": op8_url_filter,
     "op10_simhash": op10_simhash,
