@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from treeledger.llm import ledger, mixing, packing, simhash, urlfilter
+from treeledger.llm import ledger, mixing, packing, simhash, suffixes, urlfilter
 
 URL_RULES = [
     urlfilter.Rule("allow", "org", "/"),
@@ -26,6 +26,12 @@ def op2_packing(spark, folder):
     )
 
 
+def op4_suffix_dedup(spark, folder):
+    """Spans of 50 words and more that two documents or more share, in all documents."""
+    spans = suffixes.repeated_spans(_table(spark, folder, "documents"), least=50)
+    return spans.select(F.col("doc").alias("doc_id"), "start_word", "n_words", "kept", F.col("first_doc").alias("first_doc_id"))
+
+
 def op5_mixing(spark, folder):
     """All documents: how many words of each the mix takes."""
     return mixing.mix_counts(_table(spark, folder, "documents"))
@@ -58,6 +64,7 @@ def op10_simhash(spark, folder):
 
 QUERIES = {
     "op2_packing": op2_packing,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_mixing": op5_mixing,
     "op7_quality_rules": op7_quality_rules,
     "op8_url_filter": op8_url_filter,
