@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from treeledger.llm import ledger, mixing, packing, simhash, suffixes, urlfilter
+from treeledger.llm import ledger, mixing, packing, pulearn, simhash, suffixes, urlfilter
+from treeledger.llm.text import crc_fold
 
 URL_RULES = [
     urlfilter.Rule("allow", "org", "/"),
@@ -56,6 +57,17 @@ def op8_url_filter(spark, folder):
     return urlfilter.filter_urls(pages, urlfilter.shared_urls(pages), URL_RULES)
 
 
+def op9_quality_classifier(spark, folder):
+    """A score for every document; the labels of the held-out fold are not learnt from."""
+    docs = _table(spark, folder, "documents")
+    model = pulearn.train(docs, _table(spark, folder, "labels"))
+    scored = docs.select("doc_id", crc_fold("doc_id", pulearn.FOLDS).alias("fold"), pulearn.score(model, F.col("text")).alias("score"))
+    return scored.select(
+        "doc_id", F.coalesce(F.col("fold") == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op10_simhash(spark, folder):
     """Fingerprint and group of every document: 3-word shingles, at most 3 differing bits."""
     rows = simhash.simhash_groups(_table(spark, folder, "documents"), shingle=3, max_bits=3)
@@ -68,6 +80,7 @@ QUERIES = {
     "op5_mixing": op5_mixing,
     "op7_quality_rules": op7_quality_rules,
     "op8_url_filter": op8_url_filter,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_simhash": op10_simhash,
 }
 
