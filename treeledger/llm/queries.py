@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from treeledger.llm import ledger, mixing, packing, pulearn, simhash, suffixes, urlfilter
+from treeledger.llm import (
+    attribution, hyperdim, ledger, mixing, packing, pulearn, simhash, suffixes, urlfilter, voronoi,
+)
 from treeledger.llm.text import crc_fold
 
 URL_RULES = [
@@ -18,6 +20,11 @@ def _table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_voronoi_knn(spark, folder):
+    """The 10 best vectors for every vector whose id is divisible by 100, of all vectors."""
+    return voronoi.top_k(_table(spark, folder, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
 def op2_packing(spark, folder):
     """All documents, packed into sequences of at most 4096 tokens."""
     packed = packing.pack(_table(spark, folder, "documents"))
@@ -27,6 +34,16 @@ def op2_packing(spark, folder):
     )
 
 
+def op3_language_id(spark, folder):
+    """The language of every document; those with remainder 2 are not learnt from."""
+    docs = _table(spark, folder, "documents")
+    names, prototypes = hyperdim.train(docs)
+    held_out = F.coalesce(crc_fold("doc_id", hyperdim.FOLDS) == hyperdim.HELD_OUT, F.lit(False))
+    return hyperdim.identify(docs, names, prototypes).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op4_suffix_dedup(spark, folder):
     """Spans of 50 words and more that two documents or more share, in all documents."""
     spans = suffixes.repeated_spans(_table(spark, folder, "documents"), least=50)
@@ -38,6 +55,13 @@ def op5_mixing(spark, folder):
     return mixing.mix_counts(_table(spark, folder, "documents"))
 
 
+def op6_token_counts(spark, folder):
+    """Tokens of every line of all documents; a token that crosses lines goes to that with most of it."""
+    return attribution.attribute(
+        _table(spark, folder, "documents"), attribution.lines(F.col("text")), rule="most"
+    )
+
+
 def op7_quality_rules(spark, folder):
     """The ledger of all documents, and the verdict of the current policy."""
     rows = ledger.build_ledger(_table(spark, folder, "documents"))
@@ -75,9 +99,12 @@ def op10_simhash(spark, folder):
 
 
 QUERIES = {
+    "op1_voronoi_knn": op1_voronoi_knn,
     "op2_packing": op2_packing,
+    "op3_language_id": op3_language_id,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_mixing": op5_mixing,
+    "op6_token_counts": op6_token_counts,
     "op7_quality_rules": op7_quality_rules,
     "op8_url_filter": op8_url_filter,
     "op9_quality_classifier": op9_quality_classifier,
@@ -146,4 +173,18 @@ SELECT c.page_id, c.host, c.path, b.rule,
 FROM c LEFT JOIN b USING (page_id) LEFT JOIN s ON s.canonical = c.canonical
 """
 
-ORACLES = {"op7_quality_rules": OP7_SQL, "op8_url_filter": OP8_SQL}
+OP1_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, d.vec_id,
+         CAST(list_sum(list_transform(range(1, 1 + least(len(q.v), len(d.v))), lambda i: q.v[i] * d.v[i])) AS BIGINT) AS score
+  FROM v q JOIN v d ON q.vec_id % 100 = 0 AND q.vec_id <> d.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+ORACLES = {"op1_voronoi_knn": OP1_SQL, "op7_quality_rules": OP7_SQL, "op8_url_filter": OP8_SQL}
