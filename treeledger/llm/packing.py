@@ -42,9 +42,9 @@ def pack(
     """One row per piece: ``(key, start, length, ids, doc_tokens, sequence_id, offset,
     sequence_length, step_group)``; ``ids`` are little-endian unsigned 32-bit numbers.
 
-    The tokenizer's file must be at the same path on every executor. It must part at white space,
-    so that words can be encoded one by one (``word_bpe_49k.json`` does); each different word of a
-    batch is encoded once.
+    The tokenizer's file must be at the same path on every executor. It must part texts at white space
+    and lower-cased words into runs of letters, single digits and runs of other signs, as
+    ``word_bpe_49k.json`` does: each different word is then encoded once, not each word of each text.
     """
     where = tokenizer or tokenizer_path()
     sizes = sorted(tiers)
@@ -53,6 +53,7 @@ def pack(
     def run(batches):
         import heapq
         import os
+        import re
         from bisect import bisect_right, insort
 
         import numpy as np
@@ -62,23 +63,52 @@ def pack(
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        encoder, known = Tokenizer.from_file(where), {}
+        encoder, known, pieces = Tokenizer.from_file(where), {}, {}
+        stop = np.array([end], "<u4").tobytes()
+        simple = re.compile(rb"[\x21-\x26\x28-\x7e]+").fullmatch
+        split = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+").findall
         task = TaskContext.get().partitionId() << 32
         serial, steps = 0, 0
 
+        def encode(parts):
+            """Ids of each part, as bytes. Parts are encoded in one text, parted by spaces."""
+            coded = encoder.encode(" ".join(parts), add_special_tokens=False)
+            ids = np.array(coded.ids, "<u4").tobytes()
+            cuts = np.flatnonzero(np.diff(coded.word_ids)) + 1
+            if len(cuts) + 1 == len(parts):
+                ends = [0, *(4 * cuts).tolist(), len(ids)]
+                return [ids[a:b] for a, b in zip(ends, ends[1:])]
+            return [np.array(encoder.encode(p, add_special_tokens=False).ids, "<u4").tobytes() for p in parts]
+
+        def learn(words):
+            """Words of ASCII letters, digits and signs fall apart where the tokenizer parts them, and
+            share most parts; all others are encoded as they are."""
+            plain, odd = {}, []
+            for word in words:
+                if simple(word) and b"<|" not in word:
+                    plain[word] = split(word.lower())
+                else:
+                    odd.append(word)
+            new = list({p for parts in plain.values() for p in parts if p not in pieces})
+            for at in range(0, len(new), 1000):
+                some = new[at : at + 1000]
+                pieces.update(zip(some, encode([p.decode() for p in some])))
+            for word, parts in plain.items():
+                known[word] = b"".join([pieces[p] for p in parts])
+            for at in range(0, len(odd), 20_000):
+                some = odd[at : at + 20_000]
+                coded = encoder.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
+                for word, code in zip(some, coded):
+                    known[word] = np.array(code.ids, "<u4").tobytes()
+
         def tokens(texts):
             """Ids of each text with the end token, as bytes."""
             lines = [(t or "").encode("utf-8", "replace").split() for t in texts]
-            if len(known) > 400_000:
+            if len(known) + len(pieces) > 600_000:
                 known.clear()
-            new = list({w for line in lines for w in line if w not in known})
-            for at in range(0, len(new), 20_000):
-                some = new[at : at + 20_000]
-                coded = encoder.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-                for word, code in zip(some, coded):
-                    known[word] = np.array(code.ids, "<u4").tobytes()
-            stop = np.array([end], "<u4").tobytes()
-            return [b"".join([known[w] for w in line]) + stop for line in lines]
+                pieces.clear()
+            learn({w for line in lines for w in line if w not in known})
+            return [b"".join(map(known.__getitem__, line)) + stop for line in lines]
 
         def plan(parts, final):
             """Windows ``(size, pieces)`` of these parts ``(length, doc, start)``, and what is left."""
