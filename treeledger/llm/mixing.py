@@ -207,7 +207,8 @@ def taken_pieces(
     spark = sized.sparkSession
     sources = _source_table(sized, weights, share, most, block_words)
     table = spark.createDataFrame([tuple(s[f.name] for f in _SOURCES) for s in sources], _SOURCES)
-    pieces, slots = _pieces(sized, table), _slots(spark, sources, seed)
+    # Stored, so that its size is known where the join is planned: it grows with the words.
+    pieces, slots = _pieces(sized, table), stored(_slots(spark, sources, seed), "slots")
     joined = pieces.join(slots, ["src", "block"], "left")
     room = F.greatest(F.col("words") - F.col("in_block"), F.lit(0))
     taken = (
