@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows with a whole text or a piece of a file are large: few of them go to Python at a time.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
 }
 
 
