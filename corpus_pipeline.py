@@ -40,12 +40,16 @@ def pack(spark, docs, sf_dir):
     return packed.withColumn("ids_crc32", F.crc32("ids"))
 
 
+def _configured(stage):
+    return lambda spark, docs, sf_dir: stage(configure(spark), docs, sf_dir)
+
+
 STAGES = [
-    ("quality_classifier", quality),
-    ("simhash_near_dedup", near_duplicates),
-    ("suffix_array_dedup", repeated_passages),
-    ("source_mixing", mix),
-    ("packing", pack),
+    ("quality_classifier", _configured(quality)),
+    ("simhash_near_dedup", _configured(near_duplicates)),
+    ("suffix_array_dedup", _configured(repeated_passages)),
+    ("source_mixing", _configured(mix)),
+    ("packing", _configured(pack)),
 ]
 
 # Scores, permutations and token ids are beyond SQL.
@@ -53,7 +57,6 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    configure(spark)
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         rows = stored(stage(spark, rows, sf_dir), name)

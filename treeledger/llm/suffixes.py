@@ -254,7 +254,8 @@ def _without(text: Column, spans: Column) -> Column:
 
         return pd.Series([one(t, s) for t, s in zip(texts, spans)], dtype=object)
 
-    return F.pandas_udf(run, "string")(text, spans)
+    # Marked so that a filter on the result does not run it a second time.
+    return F.pandas_udf(run, "string").asNondeterministic()(text, spans)
 
 
 def cut_repeats(
