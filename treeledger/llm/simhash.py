@@ -155,11 +155,14 @@ def _verify(max_bits: int):
 
         held = None
         for batch in batches:
-            key = batch[["part", "cell", "p", "q"]]
-            new = (key != key.shift()).any(axis=1).to_numpy()
+            if not len(batch):
+                continue
+            # As integers throughout: a cell does not fit a double.
+            key = np.stack([batch[c].to_numpy(np.int64) for c in ("part", "cell", "p", "q")], axis=1)
+            new = np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1)))
             batch = batch.assign(group=np.cumsum(new))
             if held is not None:
-                same = (held[["part", "cell", "p", "q"]].iloc[-1] == key.iloc[0]).all()
+                same = all(int(held[c].iloc[-1]) == int(v) for c, v in zip(("part", "cell", "p", "q"), key[0]))
                 batch["group"] += held["group"].iloc[-1] - (1 if same else 0)
                 batch = pd.concat([held, batch], ignore_index=True)
             last = int(np.searchsorted(batch["group"].to_numpy(), batch["group"].iloc[-1]))
