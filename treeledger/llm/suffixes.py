@@ -202,9 +202,11 @@ def repeated_ranges(
     )
     # Repeated rows are one document, so any one of them will do.
     windows = stored(_window_rows(keyed.join(asked, ["doc", "digest"]), least, run), "windows")
-    shared = (
+    # Stored, so that the join below has a shuffle of its own, which the skew join can split.
+    shared = stored(
         windows.groupBy("window").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
-        .where("first_doc <> last_doc").select("window", "first_doc")
+        .where("first_doc <> last_doc").select("window", "first_doc"),
+        "shared",
     )
     single = windows.join(shared, "window").select(
         "doc", "digest", F.col("at").alias("start"), (F.col("at") + least).alias("stop"), "first_doc"
