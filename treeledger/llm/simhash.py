@@ -206,10 +206,10 @@ def component_of_fingerprint(rows: DataFrame, key: str, max_bits: int = 3) -> Da
     reached from it."""
     fps = stored(rows.groupBy("fp").agg(F.min(key).alias("least")), "fingerprints")
     groups = components(fingerprint_links(fps, max_bits))
-    joined = fps.join(groups, fps["fp"] == groups["node"], "left").select(
+    joined = stored(fps.join(groups, fps["fp"] == groups["node"], "left").select(
         fps["fp"], "least", F.coalesce("component", "fp").alias("component")
-    )
-    least = joined.groupBy("component").agg(F.min("least").alias("least"))
+    ), "members")
+    least = stored(joined.groupBy("component").agg(F.min("least").alias("least")), "least")
     return joined.select("fp", "component").join(least, "component").select("fp", "least")
 
 
