@@ -95,3 +95,25 @@ def test_commit_can_be_repeated(spark, tmp_path):
         got = {r.location_path: r.status for r in tree.commit_tree(spark, manifest, str(root)).collect()}
         assert got == {"/f": "written", "/lost": "lost"}
     assert (root / "f").read_bytes() == b"data"
+
+
+def test_copy_reports_every_planned_file(spark, mounted, tmp_path):
+    """Files planned longer than they are, and files that are gone, are not committed."""
+    target = str(tmp_path / "target")
+    rows = [
+        (mounted + "/a/b/c/deep.bin", "/long", 20_000), (mounted + "/_name", "/short", 250),
+        (mounted + "/gone", "/gone", 500), (mounted + "/zero", "/zero", 0), (mounted + "/_name", "/good", 1),
+    ]
+    files = spark.createDataFrame(rows, "node_id string, location_path string, size bigint")
+    status = {r.location_path: r.status for r in copy_tree(files, target, buffer=100).collect()}
+    assert status == {
+        "/long": "not_found" if status["/long"] == "not_found" else "short_read",
+        "/short": "short_read", "/gone": "not_found", "/zero": "written", "/good": "written",
+    }
+    assert sorted(os.listdir(target)) == ["good", "zero"]
+
+
+def test_small_rows_use_many_tasks(spark, tmp_path):
+    files = spark.createDataFrame([("/none", 80 * 2**30)], "node_id string, size bigint")
+    assert tree.read_chunks(files).rdd.getNumPartitions() == 321
+    assert tree._tasks(spark, 5000, 100) == 50 and tree._tasks(spark, 3, 100) == 3

@@ -152,3 +152,28 @@ def test_unsupported_and_unconfigured_services(spark):
     got = {r.request_id: r.status for r in routing.resolve_requests(asked, services, X.sessions(spark)).collect()}
     assert got == {1: "unsupported_type", 2: "missing_configuration", 3: "session_required",
                    4: "no_local_service", 5: "world_not_found", 6: "service_not_found"}
+
+
+def test_sessions_and_roots(spark):
+    """A session in several rows gives one answer; a root that is set is shown, also ``/``."""
+    from treeledger.operators import routing
+
+    services = spark.createDataFrame(
+        [("a", "a", "local", "/", None, None, None), ("b", "b", "local", None, None, None, None),
+         ("c", "c", "catalog", None, "root", "/c.json", "primary")],
+        "service_id string, name string, kind string, root_path string, root_id string, config_path string, world string",
+    )
+    sessions = spark.createDataFrame(
+        [("s", "catalog", "closed"), ("s", "catalog", "open"), ("s", None, None)],
+        "session_id string, kind string, state string",
+    )
+    asked = spark.createDataFrame(
+        [(1, "c", None, None, "s")],
+        "request_id bigint, service_id string, role string, identifier string, session_id string",
+    )
+    assert [r.status for r in routing.resolve_requests(asked, services, sessions).collect()] == ["ok"]
+    nodes = spark.createDataFrame(
+        [], "world string, node_id string, parent_id string, type string, size bigint"
+    )
+    shown = {r.id: r.metadata.get("rootPath") for r in routing.list_sources(services, nodes).collect()}
+    assert shown["a"] == "/" and shown["b"] is None

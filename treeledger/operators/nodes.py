@@ -101,8 +101,3 @@ def child_counts(nodes: DataFrame) -> DataFrame:
         sub.alias("total_folders"),
         (total - sub).alias("total_files"),
     )
-
-
-def node_rows(nodes: DataFrame) -> DataFrame:
-    """Exactly the node columns, in order."""
-    return nodes.select(*NODE_COLUMNS)

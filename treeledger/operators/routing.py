@@ -100,10 +100,16 @@ def resolve_requests(requests: DataFrame, services: DataFrame, sessions: DataFra
     via = F.when(asked == "catalog", "world").when(asked == "local", "kind").otherwise("id")
     key = F.when(via == "world", wanted_world).when(via == "kind", LOCAL).otherwise(asked)
 
-    known_sessions = sessions.select(
-        F.col("session_id").alias("_session"),
-        F.col("kind").alias("_session_kind"),
-        F.col("state").alias("_session_state"),
+    # One row per id, so that requests do not multiply: an open catalog session before others.
+    usable = (P.filled(F.col("kind")) == CATALOG) & (P.filled(F.col("state")) == "open")
+    known_sessions = (
+        sessions.groupBy(F.col("session_id").alias("_session"))
+        .agg(F.max(F.struct(usable.alias("usable"), "kind", "state")).alias("_best"))
+        .select(
+            "_session",
+            F.col("_best.kind").alias("_session_kind"),
+            F.col("_best.state").alias("_session_state"),
+        )
     )
     matched = (
         requests.withColumns({"_via": via, "_key": key})
@@ -184,11 +190,12 @@ def list_sources(services: DataFrame, nodes: DataFrame) -> DataFrame:
     Totals count what lies below the root of a local service, and below the roots of the worlds of
     the catalogs. Ordered by display name.
     """
-    local = services.where(F.col("kind") == LOCAL).withColumn(
-        "root_path", F.coalesce(F.nullif("root_path", F.lit("")), F.lit("/"))
+    # A service without a root counts what is below "/", but only a root that is set is shown.
+    shown_root = F.nullif("root_path", F.lit(""))
+    local = services.where(F.col("kind") == LOCAL).withColumns(
+        {"_shown_root": shown_root, "root_path": F.coalesce(shown_root, F.lit("/"))}
     )
     local_totals = _local_totals(nodes, local.select("root_path").distinct())
-    no_root = F.lit(None).cast("string")
     local_rows = local.join(local_totals, "root_path", "left").select(
         F.col("service_id").alias("id"),
         F.col("name").alias("display_name"),
@@ -196,7 +203,7 @@ def list_sources(services: DataFrame, nodes: DataFrame) -> DataFrame:
         F.map_filter(
             F.create_map(
                 F.lit("name"), F.col("name"),
-                F.lit("rootPath"), F.when(F.col("root_path") != "/", F.col("root_path")).otherwise(no_root),
+                F.lit("rootPath"), F.col("_shown_root"),
             ),
             lambda _, v: v.isNotNull(),
         ).alias("metadata"),

@@ -451,11 +451,11 @@ def oracle_sql() -> dict[str, str]:
             END AS action
           FROM (SELECT * FROM nodes WHERE world = 'primary' AND type = 'file') a
           LEFT JOIN (SELECT * FROM nodes WHERE world = 's1') b ON a.location_path = b.location_path""",
-        "chunk_plan": _with(NODES) + """SELECT node_id, CAST(i AS BIGINT) AS chunk_no,
+        "chunk_plan": _with(NODES) + """SELECT world, node_id, CAST(i AS BIGINT) AS chunk_no,
             CAST(i * 8388608 AS BIGINT) AS start_byte,
             CAST(least(8388608, size - i * 8388608) AS BIGINT) AS length
-          FROM (SELECT node_id, size, unnest(range(0, greatest((size + 8388607) // 8388608, 1))) AS i
-            FROM nodes WHERE world = 'primary' AND type = 'file')""",
+          FROM (SELECT world, node_id, size, unnest(range(0, greatest((size + 8388607) // 8388608, 1))) AS i
+            FROM nodes WHERE type = 'file')""",
         "buffer_class": _with(NODES) + """SELECT CASE WHEN size > 10485760 THEN 'spill' ELSE 'memory' END
             AS class, count(*) AS files, CAST(sum(size) AS BIGINT) AS bytes
           FROM nodes WHERE type = 'file' GROUP BY 1""",

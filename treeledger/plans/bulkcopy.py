@@ -104,8 +104,16 @@ def bulk_copy(nodes: DataFrame, contents: DataFrame, source: str, destination: s
 def copy_tree(files: DataFrame, root: str, buffer: int = 0) -> DataFrame:
     """Copy mounted files ``(node_id, location_path, size)`` below another root, piece by piece.
 
-    Pieces go from the task that reads them straight to the staged file. Files that could not be
-    read in full are not committed. One status row per file.
+    Pieces go from the task that reads them straight to the staged file. One status row per planned
+    file: ``written`` only if all bytes of its planned size arrived, else what went wrong
+    (``not_found``, ``short_read``) and nothing is committed.
     """
     chunks = read_chunks(files.select("node_id", "location_path", "size"), buffer)
-    return write_tree(chunks.where("status = 'ok'"), root)
+    return write_tree(
+        chunks.select(
+            "location_path", "start_byte", "content",
+            F.coalesce("size", F.lit(0)).cast("bigint").alias("planned_size"),
+            F.when(F.col("status") != "ok", F.col("status")).alias("problem"),
+        ),
+        root,
+    )

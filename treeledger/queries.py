@@ -133,7 +133,7 @@ def raw_nodes(spark, folder) -> DataFrame:
         .when(F.length(path) % 7 == 3, F.concat(F.lit("  "), path, F.lit("\t")))
         .when(F.length(path) % 7 == 4, F.concat(F.lit("/x/.."), path, F.lit("/")))
         .when(F.length(path) % 7 == 5, F.concat(F.lit("x/../.."), path, F.lit("/./y/..")))
-        .otherwise(F.substring(path, 2, 10_000))
+        .otherwise(F.expr("substr(location_path, 2)"))
     )
     edges = [
         "", "   ", "/", "//a///b/", "a/b", "\\a\\b", "a\\..\\b", "/../../x", "./a/./b", "/a/../..",
@@ -413,7 +413,7 @@ QUERIES = {
     "source_order": lambda s, d: routing.source_order(list_sources(s, d).select("id", "display_name")),
     "copy_plan": lambda s, d: copying.copy_plan(X.star_nodes(s, d), "primary", "s1"),
     "chunk_plan": lambda s, d: copying.chunk_plan(
-        X.star_nodes(s, d).where("world = 'primary' AND type = 'file'").select("node_id", "size")
+        X.star_nodes(s, d).where("type = 'file'").select("world", "node_id", "size")
     ).drop("size"),
     "buffer_class": lambda s, d: copying.buffer_class(X.star_nodes(s, d).where("type = 'file'")),
     "create_folders": create_folders,

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from treeledger.functions import paths as P
 from treeledger.operators.nodes import classify_entries
 from treeledger.plans.copying import chunk_plan
+from treeledger.schema import COPY_BUFFER_BYTES
 from treeledger.sources.store import shared_dir
 
 # Entries a task lists before it hands the folders it has not opened yet to the next round.
@@ -21,9 +22,19 @@ BUDGET = 200_000
 # Bytes that one batch between Python and the JVM may hold.
 BATCH_BYTES = 32 * 1024 * 1024
 
+# Folders of a scan round, and bytes of files, for a task.
+FOLDERS_PER_TASK = 100
+BYTES_PER_TASK = 256 * 1024 * 1024
+
 _LISTING = "path string, is_dir boolean, length bigint, mtime timestamp, pending boolean"
 
 
+def _tasks(spark: SparkSession, items: int, per_task: int) -> int:
+    """Tasks for so many items of work: as many as run at once, if there are so many items, and more
+    where a task would have over ``per_task``."""
+    return max(1, min(items, max(spark.sparkContext.defaultParallelism, -(-items // per_task))))
+
+
 def _lister(budget: int):
     def walk(batches):
         import os
@@ -97,7 +108,9 @@ def list_entries(
         unopened = spark.read.schema(_LISTING).parquet(target).where("pending").select("path")
         if unopened.isEmpty():
             break
-        frontier = unopened.repartition("path")
+        # An explicit number, which adaptive execution leaves alone: these rows are small, the work
+        # behind them is not.
+        frontier = unopened.repartition(_tasks(spark, unopened.count(), FOLDERS_PER_TASK), "path")
         round_no += 1
     entries = spark.read.schema(_LISTING + ", round int").parquet(out)
     return entries.where("not pending").select("path", "is_dir", "length", "mtime")
@@ -119,7 +132,11 @@ def read_chunks(files: DataFrame, buffer: int = 0) -> DataFrame:
     Pieces, not files, are spread over tasks, so a file of any size is read by many and none has to
     fit a row. A file that cannot be opened is ``not_found``.
     """
-    plan = chunk_plan(files, buffer).repartition("node_id", "chunk_no")
+    spark = files.sparkSession
+    size, count = files.agg(F.sum("size"), F.count(F.lit(1))).first()
+    step = buffer if buffer > 0 else COPY_BUFFER_BYTES
+    tasks = _tasks(spark, (size or 0) // step + count, max(1, BYTES_PER_TASK // step))
+    plan = chunk_plan(files, buffer).repartition(tasks, "node_id", "chunk_no")
     limit = BATCH_BYTES
 
     def read(batches):
@@ -153,14 +170,19 @@ def write_tree(rows: DataFrame, root: str) -> DataFrame:
 
     A file may come in several pieces, in any order and from any task. First every piece is written
     to a staged file, next the list of pieces is stored as a table, and only then a second job moves
-    complete files to their place. Files whose pieces overlap or leave gaps are ``incomplete`` and
-    stay out. The move can be repeated: after a failure, ``commit_tree`` finishes from the table.
+    complete files to their place. Files whose pieces overlap or leave gaps, or do not reach the
+    ``planned_size`` that the rows may name, are ``incomplete`` and stay out; where rows name a
+    ``problem``, that is their status. Staging is beside ``root``, if that is on the same mount. The move can be repeated: after a failure, ``commit_tree`` finishes from the table.
     """
     if not root.startswith("/"):
         raise ValueError("the root must be an absolute path")
     spark = rows.sparkSession
     root = os.path.normpath(root)
-    staging = f"{root}/.staging-{uuid.uuid4().hex}"
+    os.makedirs(root, exist_ok=True)
+    beside = os.stat(os.path.dirname(root)).st_dev == os.stat(root).st_dev and os.access(
+        os.path.dirname(root), os.W_OK
+    )
+    staging = f"{root}{'' if beside else '/'}.staging-{uuid.uuid4().hex}"
     os.makedirs(staging)
     start = F.col("start_byte") if "start_byte" in rows.columns else F.lit(0)
     path = P.normalize_location(F.col("location_path"))
@@ -171,6 +193,10 @@ def write_tree(rows: DataFrame, root: str) -> DataFrame:
         ).alias("staged"),
         start.cast("bigint").alias("start_byte"),
         "content",
+        *[
+            (F.col(name) if name in rows.columns else F.lit(None)).cast(kind).alias(name)
+            for name, kind in (("planned_size", "bigint"), ("problem", "string"))
+        ],
     )
 
     def stage(batches):
@@ -191,11 +217,14 @@ def write_tree(rows: DataFrame, root: str) -> DataFrame:
                         view, at = view[done:], at + done
                 finally:
                     os.close(handle)
-            yield batch[["location_path", "staged", "start_byte"]].assign(length=lengths)
+            kept = ["location_path", "staged", "start_byte", "planned_size", "problem"]
+            yield batch[kept].astype({"planned_size": "Int64"}).assign(length=lengths)
 
     manifest = shared_dir(spark, "manifest")
     pieces.mapInPandas(
-        stage, "location_path string, staged string, start_byte bigint, length bigint"
+        stage,
+        "location_path string, staged string, start_byte bigint, planned_size bigint, problem string, "
+        "length bigint",
     ).write.parquet(manifest)
     status = commit_tree(spark, manifest, root)
     for part in os.listdir(staging):
@@ -214,6 +243,9 @@ def write_tree(rows: DataFrame, root: str) -> DataFrame:
 def commit_tree(spark: SparkSession, manifest: str, root: str) -> DataFrame:
     """Move the staged files of a manifest to their place below ``root``; safe to run again."""
     pieces = spark.read.parquet(manifest)
+    for name, kind in (("planned_size", "bigint"), ("problem", "string")):
+        if name not in pieces.columns:
+            pieces = pieces.withColumn(name, F.lit(None).cast(kind))
     file = ["location_path", "staged"]
     # Count starts up and ends down at every position. Pieces tile the file exactly when all
     # positions cancel but one start at 0 and one end: pieces only lead forward, so what is left is
@@ -235,14 +267,19 @@ def commit_tree(spark: SparkSession, manifest: str, root: str) -> DataFrame:
             F.count_if(F.expr("step = -1")).alias("_last"),
         )
     )
-    whole = (F.col("size") == 0) | (
+    tiled = (F.col("size") == 0) | (
         (F.col("_ends") == 2) & (F.col("_first") == 1) & (F.col("_last") == 1)
     )
+    planned = F.coalesce(F.col("planned_size") == F.col("size"), F.lit(True))
+    whole = F.coalesce(tiled, F.lit(False)) & planned & F.col("problem").isNull()
     files = (
         pieces.groupBy(*file)
-        .agg(F.sum("length").alias("size"))
+        .agg(
+            F.sum("length").alias("size"), F.max("planned_size").alias("planned_size"),
+            F.min("problem").alias("problem"),
+        )
         .join(loose, file, "left")
-        .select(*file, "size", whole.alias("whole"))
+        .select(*file, "size", whole.alias("whole"), F.coalesce("problem", F.lit("incomplete")).alias("refusal"))
     )
 
     def move(batches):
@@ -250,12 +287,12 @@ def commit_tree(spark: SparkSession, manifest: str, root: str) -> DataFrame:
 
         for batch in batches:
             outcome = []
-            for location, staged, size, whole in zip(
-                batch["location_path"], batch["staged"], batch["size"], batch["whole"]
+            for location, staged, size, whole, refusal in zip(
+                batch["location_path"], batch["staged"], batch["size"], batch["whole"], batch["refusal"]
             ):
                 final = root + location
                 if not whole:
-                    outcome.append("incomplete")
+                    outcome.append(refusal)
                     continue
                 try:
                     os.makedirs(os.path.dirname(final), exist_ok=True)

@@ -29,12 +29,18 @@ class Written(NamedTuple):
 def read_content(files: DataFrame, contents: DataFrame) -> DataFrame:
     """Add ``content`` and ``status`` to files ``(world, node_id, ..)``; a missing id is
     ``not_found``."""
-    bytes_by_id = contents.select(*CONTENT_KEY, "content", F.lit(True).alias("_there"))
-    return (
-        files.join(bytes_by_id, CONTENT_KEY, "left")
-        .withColumn("status", F.when(F.col("_there"), "ok").otherwise("not_found"))
-        .drop("_there")
+    # An inner join, whose smaller side may be broadcast, so that a few files do not shuffle all
+    # bytes. What is missing is found on ids alone.
+    there = files.join(contents.select(*CONTENT_KEY, "content"), CONTENT_KEY).withColumn(
+        "status", F.lit("ok")
     )
+    known = contents.select(*CONTENT_KEY).join(
+        files.select(*CONTENT_KEY).distinct(), CONTENT_KEY, "left_semi"
+    )
+    missing = files.join(known, CONTENT_KEY, "left_anti").withColumns(
+        {"content": F.lit(None).cast("binary"), "status": F.lit("not_found")}
+    )
+    return there.unionByName(missing)
 
 
 def read_stored(files: DataFrame, path: str, buckets: int) -> DataFrame:
