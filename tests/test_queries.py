@@ -65,10 +65,9 @@ def test_plans(spark, data):
     from treeledger.sources import store
 
     nodes = X.star_nodes(spark, data)
-    # No folder is hot: one shuffle, one sort, and nothing left of the slicing.
+    # Rows in line meet the counts per folder without another shuffle of theirs.
     plan = final_plan(paging.page_children(nodes))
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert plan.count("Sort [") == 1
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     # Filters reach the scan, and only needed columns are read.
     plan = final_plan(store.scan_nodes(spark, X.node_store(spark, data), "s1").select("location_path"))
     assert "PartitionFilters: [isnotnull(world" in plan and "ReadSchema: struct<location_path:string>" in plan

@@ -94,9 +94,18 @@ def test_overwrite_rewrites_only_touched_buckets(spark, tmp_path):
     assert len({os.path.dirname(f) for f in set(before) - set(after)}) == 1
 
 
-@pytest.mark.parametrize("most", [10_000, 1])
-def test_stored_reads_and_wide_replacements(spark, tmp_path, monkeypatch, most):
-    monkeypatch.setattr(store, "_MOST_LISTED", most)
+@pytest.mark.parametrize("limit", ["10MB", "-1"])
+def test_stored_reads_and_wide_replacements(spark, tmp_path, limit):
+    """With buckets broadcast, which prunes the scan, and too large for it."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        stored_reads(spark, tmp_path, pruned=limit != "-1")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def stored_reads(spark, tmp_path, pruned):
     path = str(tmp_path / "contents")
     rows = [(w, f"n{i}", f"{w}{i}".encode()) for w in ("v", "w") for i in range(40)]
     old = spark.createDataFrame(rows, "world string, node_id string, content binary")
@@ -105,6 +114,9 @@ def test_stored_reads_and_wide_replacements(spark, tmp_path, monkeypatch, most):
     got = content.read_stored(asked, path, 8)
     assert {(r.node_id, r.status, r.content and bytes(r.content)) for r in got.collect()} == {
         ("n1", "ok", b"w1"), ("n2", "ok", b"w2"), ("no", "not_found", None)}
+    if pruned:
+        plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "dynamicpruning" in plan and "dynamicpruningexpression(true)" not in plan
     changed = spark.createDataFrame([("w", "n1", b"x"), ("w", "n7", b"y"), ("w", "n9", b"z")], old.schema)
     store.replace_contents(spark, changed, path, 8)
     left = {(r.world, r.node_id): bytes(r.content) for r in store.scan_contents(spark, path).collect()}

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from treeledger.functions import paths as P
 from treeledger.operators.listing import validate_parents
-from treeledger.operators.paging import HOT_ROWS, page_info, window_children
+from treeledger.operators.paging import page_info, window_children
 from treeledger.operators.pathjobs import normalize_nodes
 from treeledger.operators.routing import resolve_requests
 from treeledger.schema import LOCAL
@@ -31,7 +31,6 @@ def serve_listing(
     services: DataFrame,
     sessions: DataFrame,
     nodes: DataFrame,
-    hot_rows: int = HOT_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """``(rows, info)`` for requests ``(request_id, service_id, identifier, role, session_id,
     offset, limit, folders_only)``.
@@ -48,7 +47,7 @@ def serve_listing(
         F.when(F.col("kind") == LOCAL, P.relative_parent(F.col("parent_id"), root)),
     )
     # Paths are worked out once per node and once per request, not for every row handed out.
-    listed = window_children(valid, normalize_nodes(nodes), hot_rows, carry=("_listed_at",))
+    listed = window_children(valid, normalize_nodes(nodes), carry=("_listed_at",))
     mounted = F.col("_listed_at").isNotNull()
     rows = listed.withColumns({
         "parent_path": F.coalesce("_listed_at", "parent_path"),

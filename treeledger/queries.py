@@ -392,11 +392,11 @@ QUERIES = {
     ).select(*_shown("request_id")),
     "child_counts": lambda s, d: nodes.child_counts(X.star_nodes(s, d)),
     "name_order": lambda s, d: paging.name_order(X.star_nodes(s, d)).select(*_shown("idx")),
-    "name_order_skewed": lambda s, d: paging.name_order(_skewed(s, d), hot_rows=200).select(*_shown("idx")),
+    "name_order_skewed": lambda s, d: paging.name_order(_skewed(s, d)).select(*_shown("idx")),
     "page_children": lambda s, d: paging.page_children(X.star_nodes(s, d), 25).select(
         *_shown("idx", "page", "page_size", "total", "has_more")
     ),
-    "page_children_skewed": lambda s, d: paging.page_children(_skewed(s, d), 0, hot_rows=200).select(
+    "page_children_skewed": lambda s, d: paging.page_children(_skewed(s, d), 0).select(
         *_shown("idx", "page", "page_size", "total", "has_more")
     ),
     "window_children": lambda s, d: paging.window_children(

@@ -7,7 +7,7 @@ partitioned by world and by a digest bucket of the node id, so a change rewrites
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,23 +85,15 @@ def scan_contents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(_STORED_CONTENTS).parquet(path)
 
 
-# Above this many partitions a read filter on them is not worth its length.
-_MOST_LISTED = 10_000
+def in_buckets(contents: DataFrame, keys: DataFrame) -> DataFrame:
+    """Stored contents in the worlds and buckets of ``keys``.
 
-
-def bucket_filter(keys: DataFrame) -> Column:
-    """Partition filter for the worlds and buckets in ``keys``. What comes to the driver is at most
-    one entry per partition of the store; the filter is literal, so that the scan lists and reads no
-    other partition."""
-    worlds: dict[str, list[int]] = {}
-    for world, bucket in keys.select("world", "bucket").distinct().collect():
-        worlds.setdefault(world, []).append(bucket)
-    if sum(map(len, worlds.values())) > _MOST_LISTED:
-        return F.col("world").isin(list(worlds))
-    hit = F.lit(False)
-    for world, buckets in worlds.items():
-        hit = hit | ((F.col("world") == world) & F.col("bucket").isin(buckets))
-    return hit
+    The buckets are a stored table of at most one row per partition of the store, so their size is
+    known: where Spark broadcasts them, the scan is pruned at run time and opens no other partition.
+    """
+    touched = stored(keys.select("world", "bucket").distinct(), "touched")
+    # The filter is always true; pruning at run time asks for one on the small side.
+    return contents.join(touched.where("bucket >= 0"), ["world", "bucket"], "left_semi")
 
 
 def replace_contents(spark: SparkSession, changed: DataFrame, path: str, buckets: int) -> None:
@@ -113,12 +105,8 @@ def replace_contents(spark: SparkSession, changed: DataFrame, path: str, buckets
     pending = shared_dir(spark, "replace")
     write_contents(changed, pending, buckets)
     new = scan_contents(spark, pending)
-    touched = new.select("world", "bucket").distinct()
     kept = (
-        scan_contents(spark, path)
-        .where(bucket_filter(touched))
-        # Exact again, should the filter have named worlds only.
-        .join(touched, ["world", "bucket"], "left_semi")
+        in_buckets(scan_contents(spark, path), new)
         .join(new.select("world", "node_id"), ["world", "node_id"], "left_anti")
     )
     (

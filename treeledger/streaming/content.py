@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from treeledger.functions import paths as P
 from treeledger.schema import CONTENTS, FILE, NODE_COLUMNS, byte_length
-from treeledger.sources.store import bucket_filter, scan_contents, stored, with_bucket
+from treeledger.sources.store import in_buckets, scan_contents, stored, with_bucket
 
 CONTENT_KEY = ["world", "node_id"]
 HANDLE = ["world", "parent_id", "name"]
@@ -45,9 +45,8 @@ def read_content(files: DataFrame, contents: DataFrame) -> DataFrame:
 
 def read_stored(files: DataFrame, path: str, buckets: int) -> DataFrame:
     """:func:`read_content` from a content store; reads only the buckets that the ids fall into."""
-    wanted = bucket_filter(with_bucket(files, buckets))
-    contents = scan_contents(files.sparkSession, path).where(wanted)
-    return read_content(files, contents)
+    stored_contents = scan_contents(files.sparkSession, path)
+    return read_content(files, in_buckets(stored_contents, with_bucket(files, buckets)))
 
 
 def commit_files(staged: DataFrame, writes: DataFrame, nodes: DataFrame) -> Written:
