@@ -143,6 +143,48 @@ def test_copy_of_missing_and_empty_bytes(spark):
     assert {bytes(r.content) for r in done.contents.collect()} == {b"abc", b""}
 
 
+def test_copy_below_a_file_is_blocked(spark):
+    """Neither node nor bytes are made where a file of the destination stands for a folder."""
+    def node(world, path, kind="file"):
+        parent, name = path.rsplit("/", 1)
+        return (world, f"{world}{path}", f"{world}{parent or '/'}", parent or "/", name, path, None, path.count("/"),
+                3 if kind == "file" else None, kind)
+
+    nodes = spark.createDataFrame(
+        [("p", "p/", None, None, "/", "/", None, 0, None, "folder"), node("p", "/a", "folder"), node("p", "/a/b"),
+         node("p", "/a/c", "folder"), node("p", "/a/c/d"), node("p", "/e"),
+         ("d", "d/", None, None, "/", "/", None, 0, None, "folder"), node("d", "/a")], NODES)
+    contents = spark.createDataFrame(
+        [("p", "p/a/b", b"one"), ("p", "p/a/c/d", b"two"), ("p", "p/e", b"abc")],
+        "world string, node_id string, content binary")
+    done = bulkcopy.bulk_copy(nodes, contents, "p", "d")
+    assert {r.location_path: r.status for r in done.status.collect()} == {
+        "/a/b": "blocked", "/a/c/d": "blocked", "/e": "copied"}
+    made = done.new_nodes.collect()
+    assert [r.location_path for r in made] == ["/e"]
+    assert [(r.node_id, bytes(r.content)) for r in done.contents.collect()] == [(made[0].node_id, b"abc")]
+
+
+def test_commit_gives_each_file_a_path_of_its_own(spark, nodes):
+    """Names that would take another file's path are refused, and so is a path that is taken."""
+    names = ["x", "x ", "../y", "s/t", "."]
+    stray = nodes.where("false").unionByName(spark.createDataFrame(
+        [("w", "stray", "a", "/a", "u ", "/a/u", None, 2, 1, "file")], NODES))
+    nodes = nodes.unionByName(stray)
+    wanted = spark.createDataFrame(
+        [("w", "a", n, 1) for n in [*names, "u"]], "world string, parent_id string, name string, size bigint"
+    ).withColumn("metadata", F.lit(None).cast("map<string,string>"))
+    writes = spark.createDataFrame(
+        [("w", "a", n, 0, n.encode()) for n in [*names, "u"]],
+        "world string, parent_id string, name string, commit_seq int, content binary")
+    done = content.commit_files(writing.stage_files(wanted, nodes), writes, nodes)
+    assert {r.name: r.status for r in done.status.collect()} == {
+        "x": "committed", "x ": "invalid_name", "../y": "invalid_name", "s/t": "invalid_name",
+        ".": "invalid_name", "u": "already_exists"}
+    assert [r.location_path for r in done.nodes.collect()] == ["/a/x"]
+    assert [bytes(r.content) for r in done.contents.collect()] == [b"x"]
+
+
 def test_chunks_cover_files(spark):
     files = spark.createDataFrame([("a", 0), ("b", 10), ("c", 11), ("d", None)], "node_id string, size bigint")
     got = {}

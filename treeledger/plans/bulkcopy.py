@@ -28,8 +28,8 @@ def bulk_copy(nodes: DataFrame, contents: DataFrame, source: str, destination: s
 
     Missing folders are made, files are placed in them, and all of that is settled and stored as
     narrow tables before any byte moves; then one join on the source id takes the bytes across. A
-    file to be made whose bytes are missing or empty is reported as ``no_data`` and not made;
-    overwriting with empty bytes truncates. Sizes come from the bytes, not from the plan.
+    file to be made whose bytes are missing or empty is reported as ``no_data`` and not made, nor is
+    one whose folder cannot be made since a file is in the way (``blocked``); overwriting with empty bytes truncates. Sizes come from the bytes, not from the plan.
     """
     target = F.lit(destination).alias("world")
     have = contents.where(F.col("world") == source)
@@ -39,15 +39,25 @@ def bulk_copy(nodes: DataFrame, contents: DataFrame, source: str, destination: s
         ),
         "plan",
     )
+    wanted = plan.where("action = 'copy' and bytes > 0").select(
+        target, P.parent_location(F.col("location_path")).alias("path")
+    )
+    folders, made = create_folders(wanted, nodes)
+    folders = stored(folders, "folders")
+    blocked = stored(
+        made.where("status = 'not_folder'").select(
+            F.col("path").alias("parent_path"), F.lit(True).alias("blocked")
+        ),
+        "blocked",
+    )
+    plan = plan.withColumn("parent_path", P.parent_location(F.col("location_path"))).join(
+        blocked, "parent_path", "left"
+    )
     moving = plan.where(
-        ((F.col("action") == "copy") & (F.col("bytes") > 0))
+        ((F.col("action") == "copy") & (F.col("bytes") > 0) & F.col("blocked").isNull())
         | ((F.col("action") == "overwrite") & F.col("bytes").isNotNull())
     )
-    created = moving.where("action = 'copy'").withColumn(
-        "parent_path", P.parent_location(F.col("location_path"))
-    )
-    folders, _ = create_folders(created.select(target, F.col("parent_path").alias("path")), nodes)
-    folders = stored(folders, "folders")
+    created = moving.where("action = 'copy'")
     parents = (
         nodes.where((F.col("world") == destination) & (F.col("type") == FOLDER))
         .unionByName(folders)
@@ -90,6 +100,7 @@ def bulk_copy(nodes: DataFrame, contents: DataFrame, source: str, destination: s
         F.when(F.col("action") == "skip", "skipped")
         .when(F.col("action") == "conflict", "conflict")
         .when(~moves, "no_data")
+        .when((F.col("action") == "copy") & F.col("blocked"), "blocked")
         .when(F.col("action") == "copy", "copied")
         .otherwise("overwritten")
     )

@@ -55,7 +55,9 @@ def commit_files(staged: DataFrame, writes: DataFrame, nodes: DataFrame) -> Writ
     ``writes(world, parent_id, name, commit_seq, content)`` may name a handle several times; the
     first write with bytes is committed and later ones change nothing (``no_op``). Empty data is
     refused (``empty_data``), so is a handle that was never staged (``not_staged``) and a name the
-    folder already holds (``already_exists``). The size of the new node is that of its bytes.
+    folder or a node at the same path already holds (``already_exists``). A name that is not its
+    own normal form, such as ``x `` or ``../y``, or has a slash would take another file's path and
+    id and is an ``invalid_name``. The size of the new node is that of its bytes.
     ``commit_seq`` is unique within a handle.
     """
     attempts = stored(
@@ -71,18 +73,31 @@ def commit_files(staged: DataFrame, writes: DataFrame, nodes: DataFrame) -> Writ
         .groupBy(*HANDLE)
         .agg(F.min_by(F.struct("parent_path", "location_path", "depth_level"), "staged_at").alias("_stub"))
     )
-    taken = nodes.where(F.col("parent_id").isNotNull()).select(*HANDLE).distinct()
-    # One row per handle that is written to: its stub, if any, and whether the name is taken.
+    # One row per handle that is written to: its stub, if any, and whether name and path are taken.
+    # Stored, so that few handles are broadcast and the nodes are not shuffled to look them up.
+    handles = stored(
+        attempts.select(*HANDLE).distinct().join(stubs, HANDLE, "left")
+        .withColumn("location_path", F.col("_stub.location_path")),
+        "handles",
+    )
+    place = ["world", "location_path"]
+    taken = nodes.select(*HANDLE).join(handles.select(*HANDLE), HANDLE, "left_semi").distinct()
+    filled = (
+        nodes.select("world", P.normalize_location(F.col("location_path")).alias("location_path"))
+        .join(handles.select(*place), place, "left_semi").distinct()
+    )
     handles = (
-        attempts.select(*HANDLE).distinct()
-        .join(stubs, HANDLE, "left")
-        .join(taken.withColumn("_taken", F.lit(True)), HANDLE, "left")
+        handles.join(taken.withColumn("_taken", F.lit(True)), HANDLE, "left")
+        .join(filled.withColumn("_filled", F.lit(True)), place, "left")
         .join(first, HANDLE, "left")
     )
+    own_path = P.child_location(F.col("_stub.parent_path"), F.col("name"))
+    valid = (F.col("_stub.location_path") == own_path) & ~F.contains("name", F.lit("/"))
     status = (
         F.when(F.col("_stub").isNull(), "not_staged")
+        .when(~F.coalesce(valid, F.lit(False)), "invalid_name")
         .when(F.col("_bytes") == 0, "empty_data")
-        .when(F.col("_taken"), "already_exists")
+        .when(F.coalesce("_taken", "_filled"), "already_exists")
         .when(F.col("commit_seq") != F.col("_first"), "no_op")
         .otherwise("committed")
     )
