@@ -17,4 +17,4 @@ def test_query(spark, data, name):
 def test_all_operators_are_there():
     names = entry.queries()
     assert "pipeline" in names
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))

@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from treeledger.llm import (
-    attribution, hyperdim, ledger, mixing, packing, pulearn, simhash, suffixes, urlfilter, voronoi,
+    alignment, attribution, descent, hyperdim, ledger, mixing, packing, pulearn, resampling, simhash, suffixes,
+    urlfilter, voronoi,
 )
 from treeledger.llm.text import crc_fold
 
@@ -98,6 +99,27 @@ def op10_simhash(spark, folder):
     return rows.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_resampling(spark, folder):
+    """All documents, and which tenth of those with 20 words and more is drawn towards the benchmark."""
+    return resampling.resample(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), percent=10)
+
+
+def op12_alignment(spark, folder):
+    """Groups and links of two tokenizers in all documents."""
+    rows = alignment.align(_table(spark, folder, "documents"))
+    # What stands for the groups is made from them before anything is stored.
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    rows = alignment.with_counts(rows.withColumn("groups_sha256", digest).drop("groups"))
+    return rows.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256",
+    )
+
+
+def op13_descent(spark, folder):
+    """The 5 nearest vectors by cosine for every vector whose id is divisible by 50, found in a graph of all."""
+    return descent.nearest(_table(spark, folder, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
 QUERIES = {
     "op1_voronoi_knn": op1_voronoi_knn,
     "op2_packing": op2_packing,
@@ -109,6 +131,9 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_simhash": op10_simhash,
+    "op11_resampling": op11_resampling,
+    "op12_alignment": op12_alignment,
+    "op13_descent": op13_descent,
 }
 
 OP7_SQL = r"""
@@ -187,4 +212,50 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
 """
 
-ORACLES = {"op1_voronoi_knn": OP1_SQL, "op7_quality_rules": OP7_SQL, "op8_url_filter": OP8_SQL}
+OP11_SQL = r"""
+WITH tab AS (
+  SELECT list(c ORDER BY i) AS tab FROM (
+    SELECT i, list_reduce(range(0, 8), lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i) AS c
+    FROM range(256) AS r(i))),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+e AS (
+  SELECT regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+dw AS (SELECT r, unnest(ws) AS w FROM d),
+ew AS (SELECT unnest(ws) AS w FROM e),
+hx AS (SELECT w, hex(w) AS x FROM (SELECT w FROM dw UNION SELECT w FROM ew)),
+wb AS (
+  SELECT w, xor(list_reduce(
+      list_transform(range(0, CAST(length(x) // 2 AS BIGINT)), lambda i:
+        CAST((strpos('0123456789ABCDEF', x[2 * i + 1]) - 1) * 16 + strpos('0123456789ABCDEF', x[2 * i + 2]) - 1 AS BIGINT)),
+      lambda a, b: xor(a >> 8, tab[CAST(xor(a, b) & 255 AS BIGINT) + 1]), 4294967295), 4294967295) % 10000 AS b
+  FROM hx, tab),
+db AS (SELECT r, b FROM dw JOIN wb USING (w)),
+s AS (SELECT b, count(*) AS s FROM db GROUP BY b),
+t AS (SELECT b, count(*) AS t FROM ew JOIN wb USING (w) GROUP BY b),
+n AS (SELECT (SELECT coalesce(sum(s), 0) FROM s) AS s_all, (SELECT coalesce(sum(t), 0) FROM t) AS t_all),
+g AS (
+  SELECT i AS b, CAST(floor(1000 * ln(
+    CAST(coalesce(t, 0) + 1 AS DOUBLE) * CAST(s_all + 10000 AS DOUBLE)
+    / (CAST(coalesce(s, 0) + 1 AS DOUBLE) * CAST(t_all + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+  FROM range(10000) AS k(i) LEFT JOIN s ON s.b = i LEFT JOIN t ON t.b = i, n),
+m AS (SELECT r, CAST(count(*) AS BIGINT) AS nf, CAST(sum(gain) AS BIGINT) AS total FROM db JOIN g USING (b) GROUP BY r),
+x AS (
+  SELECT d.r, doc_id, coalesce(nf, 0) AS n_features,
+         CASE WHEN nf IS NULL THEN 0 ELSE (total - ((total % nf) + nf) % nf) // nf END AS weight,
+         CAST('0x' || substr(sha256('2024:' || CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) AS h
+  FROM d LEFT JOIN m USING (r)),
+y AS (SELECT *, CAST(weight AS BIGINT) + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM x),
+z AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id, r) AS p, count(*) OVER () AS n
+  FROM y WHERE n_features >= 20 AND doc_id IS NOT NULL)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, score,
+       CAST(CASE WHEN p <= 10 * n // 100 THEN p END AS BIGINT) AS rank
+FROM y LEFT JOIN z USING (r)
+"""
+
+ORACLES = {"op11_resampling": OP11_SQL, "op1_voronoi_knn": OP1_SQL, "op7_quality_rules": OP7_SQL, "op8_url_filter": OP8_SQL}
