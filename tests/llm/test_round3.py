@@ -110,9 +110,10 @@ def brute_alignment(texts):
             rows.append(([], [], []))
             continue
         ends_a, ends_b = np.cumsum([len(x) for x in bytes_a]).tolist(), np.cumsum([len(x) for x in bytes_b]).tolist()
-        both, groups, i, j = sorted(set(ends_a) & set(ends_b)), [], 0, 0
-        for end in both:
-            x, y = ends_a.index(end) + 1, ends_b.index(end) + 1
+        place_a, place_b = ({e: n + 1 for n, e in enumerate(ends)} for ends in (ends_a, ends_b))
+        groups, i, j = [], 0, 0
+        for end in sorted(set(ends_a) & set(ends_b)):
+            x, y = place_a[end], place_b[end]
             groups.append((a[i:x], b[j:y]))
             i, j = x, y
         rows.append((a, b, groups))

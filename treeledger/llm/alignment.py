@@ -103,7 +103,9 @@ def align(
     ``groups`` is text: groups parted by ``;``, in each the ids of A, ``|`` and the ids of B, parted by
     ``,``. ``links`` are the document's links as numbers into its block's ``pairs``, coded for
     ``with_counts``; ``pairs`` (id of A times 2 to the 32nd, plus id of B) and ``times`` stand at the
-    first document of a block. The piece model's file must be at the same path on every executor."""
+    first document of a block. The piece model's file must be at the same path on every executor; it and
+    the pattern must part texts before a single space, as the given ones do (no piece has a space behind
+    another character)."""
     ranks, pattern, pieces = ranks or byte_tokens(), pattern or byte_pattern(), pieces or piece_path()
     kind = dict(docs.dtypes)[key]
     make = _galloper()
@@ -135,14 +137,81 @@ def align(
         written += [f"{i}{sign}" for sign in (",", ";", "") for i in range(top_b)]
         block = TaskContext.get().partitionId() << 32
 
+        def both(texts):
+            """Ids of both for each text; None where they do not spell it."""
+            for text, b in zip(texts, other.encode(texts, num_threads=1)):
+                a, whole = coder.encode_ordinary(" " + text), (" " + text).encode("utf-8", "replace")
+                same = b"".join(map(spelt_a.__getitem__, a)) == whole == b"".join(map(spelt_b.__getitem__, b))
+                yield (np.array(a, np.int64), np.array(b, np.int64)) if same else None
+
+        class Parts(dict):
+            """Numbers of what stands between single spaces, and its ids: those of A and of B one part
+            after another, with the place behind each part's last."""
+
+            def __init__(self):
+                self.new, self.odd = [], np.zeros(0, bool)
+                self.ids = [np.zeros(0, np.int32)] * 2
+                self.ends = [np.zeros(1, np.int64)] * 2
+
+            def __missing__(self, part):
+                self.new.append(part)
+                found = self[part] = len(self)
+                return found
+
+            def learn(self):
+                """New parts are encoded some at a time, in one text, and cut where each part ends. Odd
+                are parts at other white space than one space, and those that are not spelt."""
+                odd = np.array([not p or p[0].isspace() or "▁" in p for p in self.new])
+                width = np.array([len(p.encode("utf-8", "replace")) + 1 for p in self.new])
+                sides = [[(self.ids[s], self.ends[s][1:])] for s in (0, 1)]
+                past = [len(self.ids[0]), len(self.ids[1])]
+                groups = [range(at, min(at + 400, len(odd))) for at in range(0, len(odd), 400)]
+                plain = [[i for i in g if not odd[i]] for g in groups]
+                for group, some, pair in zip(groups, plain, both([" ".join([self.new[i] for i in g]) for g in plain])):
+                    if pair is None or not some:
+                        odd[group.start : group.stop] = True
+                    for s, size in ((0, size_a), (1, size_b)):
+                        wide = np.zeros(len(group), np.int64)
+                        if pair is not None and some:
+                            close = np.searchsorted(np.cumsum(size[pair[s]]), np.cumsum(width[some])) + 1
+                            wide[np.array(some) - group.start] = np.diff(close, prepend=0)
+                            sides[s].append((pair[s].astype(np.int32), past[s] + np.cumsum(wide)))
+                        else:
+                            sides[s].append((np.zeros(0, np.int32), past[s] + wide))
+                        past[s] += int(wide.sum())
+                for s in (0, 1):
+                    self.ids[s] = np.concatenate([ids for ids, _ in sides[s]])
+                    self.ends[s] = np.concatenate([[0], *(ends for _, ends in sides[s])])
+                self.odd = np.concatenate([self.odd, odd])
+                self.new = []
+
+            def ids_of(self, numbers, side):
+                ends = self.ends[side]
+                wide = ends[numbers + 1] - ends[numbers]
+                skip = np.repeat(ends[numbers] - np.cumsum(wide) + wide, wide)
+                return self.ids[side][skip + np.arange(len(skip))].astype(np.int64)
+
+        known = Parts()
+
         def encode(texts):
-            """Ids of both for each text; none where they do not spell it."""
-            some = [i for i, t in enumerate(texts) if t]
-            out = [((), ())] * len(texts)
-            for i, b in zip(some, other.encode([texts[i] for i in some], num_threads=1)):
-                a, whole = coder.encode_ordinary(" " + texts[i]), (" " + texts[i]).encode("utf-8", "replace")
-                if b"".join(map(spelt_a.__getitem__, a)) == whole == b"".join(map(spelt_b.__getitem__, b)):
-                    out[i] = np.array(a, np.int64), np.array(b, np.int64)
+            """Ids of both for each text. No token of either goes on behind a space, so what stands
+            between single spaces is encoded once, and texts with odd parts are encoded whole."""
+            nonlocal known
+            if len(known) > 400_000:
+                known = Parts()
+            none = np.zeros(0, np.int64)
+            out, numbers, number = [(none, none)] * len(texts), {}, known.__getitem__
+            for i, text in enumerate(texts):
+                if text:
+                    parts = text.split(" ")
+                    numbers[i] = np.fromiter(map(number, parts), np.int64, len(parts))
+            if known.new:
+                known.learn()
+            odd = [i for i, some in numbers.items() if known.odd[some].any()]
+            for i, some in numbers.items():
+                out[i] = known.ids_of(some, 0), known.ids_of(some, 1)
+            for i, pair in zip(odd, both([texts[i] for i in odd])):
+                out[i] = pair or (none, none)
             return out
 
         def spread(counts):
@@ -208,8 +277,8 @@ def align(
         keys, ids, held = [], [], 0
         for batch in batches:
             given, texts = batch["key"].tolist(), batch["text"].tolist()
-            for at in range(0, len(texts), 64):
-                for name, found in zip(given[at : at + 64], encode(texts[at : at + 64])):
+            for at in range(0, len(texts), 256):
+                for name, found in zip(given[at : at + 256], encode(texts[at : at + 256])):
                     keys.append(name)
                     ids.append(found)
                     held += len(found[0])
