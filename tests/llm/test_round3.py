@@ -2,7 +2,10 @@
 
 import hashlib
 import math
+import os
 import random
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
@@ -13,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
-from treeledger.llm import alignment, descent, radix, resampling
+from treeledger.llm import alignment, descent, hyperdim, pulearn, radix, resampling, voronoi
 
 SMALL = "/root/testdata/sf0.01"
 
@@ -217,3 +220,48 @@ def test_nearest_query(spark):
         found.setdefault(r["query_id"], set()).add(r["vec_id"])
     assert set(found) == set(wanted)
     assert np.mean([len(found[i] & {j for _, j in wanted[i]}) / 5 for i in wanted]) > 0.95
+
+
+def test_tasks_without_rows(spark):
+    """More tasks than rows: no operator hands on a frame without a type."""
+    docs = spark.createDataFrame([(i, f"die katze {i} und der hund", "de") for i in range(3)], "doc_id bigint, text string, lang string")
+    names, table = hyperdim.train(docs.repartition(12))
+    assert names == ["de"] and hyperdim.identify(docs.repartition(12), names, table).count() == 3
+    rows = spark.createDataFrame([(100 * i, [float(i), 1.0]) for i in range(3)], "vec_id bigint, embedding array<double>")
+    assert voronoi.top_k(rows.repartition(12), F.col("id") == 100).count() == 2
+    assert descent.nearest(rows.repartition(12), F.col("id") == 100, 5).count() == 2
+
+
+def test_tasks_need_no_package():
+    """What runs in tasks is pickled by value: a Python that cannot import the package runs it."""
+    from pyspark.cloudpickle import dumps
+
+    code = "import sys, pickle; pickle.loads(sys.stdin.buffer.read())(); assert 'treeledger' not in sys.modules"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    for made in (voronoi._matrix_code(), descent._matrix(), alignment._galloper(), hyperdim._bundler(8), pulearn._featurizer()):
+        done = subprocess.run([sys.executable, "-c", code], input=dumps(made), cwd="/", env=env, capture_output=True)
+        assert done.returncode == 0, done.stderr.decode()
+
+
+def test_many_different_letters():
+    """Trigrams in slices add up to what all of them at once do."""
+    text = "".join(chr(0x4E00 + i * 7 % 20_000) for i in range(30_000))
+    trigrams, vectors = hyperdim._bundler(64)()
+    found = trigrams(text)
+    codes, counts = found
+    draw = lambda code: np.random.Generator(np.random.Philox(key=int(code))).integers(0, 2, 64, dtype=np.int8) * 2 - 1
+    want = np.zeros(64)
+    for code, n in zip(codes, counts):
+        want += n * np.roll(draw(code >> 42), 2) * np.roll(draw((code >> 21) & 0x1FFFFF), 1) * draw(code & 0x1FFFFF)
+    assert len(codes) > 3 * hyperdim.SLICE and (vectors([None, found])[1] == want).all()
+
+
+def test_whole_words_and_text_ids(spark):
+    features = pulearn._featurizer()()
+    a, b = "a" * 60 + "-1-x-" * 10 + "b" * 60, "a" * 60 + "-X-2-" * 10 + "b" * 60
+    assert (features(a) != features(b)).any()
+    docs = spark.createDataFrame([(f"d{i}", "Good text. " * 5 if i % 2 else "bad bad " * 9) for i in range(40)], "doc_id string, text string")
+    labels = spark.createDataFrame([(f"d{i}", i % 2) for i in range(40)], "doc_id string, quality int")
+    model = pulearn.train(docs, labels)
+    rows = docs.select("doc_id", pulearn.score(model, F.col("text")).alias("s")).collect()
+    assert min(r["s"] for r in rows if int(r["doc_id"][1:]) % 2) > max(r["s"] for r in rows if not int(r["doc_id"][1:]) % 2)

@@ -28,6 +28,8 @@ MAX_LANGUAGES = 10_000
 FOLDS = 4
 HELD_OUT = 2
 UNKNOWN = "und"
+# Different trigrams whose vectors are made at a time, 5 * DIM bytes each.
+SLICE = 8_192
 
 
 def _bundler(dim: int):
@@ -38,6 +40,8 @@ def _bundler(dim: int):
 
         def letter(code):
             if code not in letters:
+                if len(letters) > 20_000:
+                    letters.clear()
                 draw = np.random.Generator(np.random.Philox(key=code))
                 letters[code] = (draw.integers(0, 2, dim, dtype=np.int8) * 2 - 1).astype(np.int8)
             return letters[code]
@@ -60,16 +64,19 @@ def _bundler(dim: int):
             if not some:
                 return out
             all_codes = np.unique(np.concatenate([codes for codes, _ in some]))
-            places = [(all_codes >> 42), (all_codes >> 21) & 0x1FFFFF, all_codes & 0x1FFFFF]
-            bound = np.ones((len(all_codes), dim), np.int8)
-            for turn, codes in zip((2, 1, 0), places):
-                kinds, which = np.unique(codes, return_inverse=True)
-                table = np.stack([np.roll(letter(int(k)), turn) for k in kinds])
-                bound *= table[which]
-            bound = bound.astype(np.float32)
-            for i, f in enumerate(found):
-                if f is not None:
-                    out[i] = f[1].astype(np.float32) @ bound[np.searchsorted(all_codes, f[0])]
+            for at in range(0, len(all_codes), SLICE):  # what is held does not grow with a text
+                part = all_codes[at : at + SLICE]
+                bound = np.ones((len(part), dim), np.int8)
+                for turn, codes in zip((2, 1, 0), (part >> 42, (part >> 21) & 0x1FFFFF, part & 0x1FFFFF)):
+                    kinds, which = np.unique(codes, return_inverse=True)
+                    table = np.stack([np.roll(letter(int(k)), turn) for k in kinds])
+                    bound *= table[which]
+                bound = bound.astype(np.float32)
+                for i, f in enumerate(found):
+                    if f is not None:
+                        low, high = np.searchsorted(f[0], (part[0], part[-1] + 1))
+                        if low < high:
+                            out[i] += f[1][low:high].astype(np.float32) @ bound[np.searchsorted(part, f[0][low:high])]
             return out
 
         return trigrams, vectors
@@ -112,7 +119,8 @@ def train(
                         sums[name] += vector
                     else:
                         sums[name] = vector
-        yield pd.DataFrame({"lang": list(sums), "sums": list(sums.values())})
+        if sums:  # a task may have no rows, and an empty column of lists has no type
+            yield pd.DataFrame({"lang": list(sums), "sums": list(sums.values())})
 
     sums = (
         rows.select("lang", "text").mapInPandas(run, "lang string, sums array<bigint>")

@@ -59,8 +59,7 @@ def _featurizer(shapes: int = SHAPES, pairs: int = PAIRS, measures: int = MEASUR
             if found is None:
                 if len(known) > 500_000:
                     known.clear()
-                form = word[:40] + word[-40:] if len(word) > 80 else word
-                form = twice.sub(r"\1\1", digits.sub("0", lower.sub("a", upper.sub("A", form))))
+                form = twice.sub(r"\1\1", digits.sub("0", lower.sub("a", upper.sub("A", word))))
                 found = known[word] = zlib.crc32(form.encode("utf-8", "replace")) % shapes
             return found
 
@@ -180,7 +179,8 @@ def train(
                 "features": [features(t).tobytes() for t in batch["text"]],
             })
 
-    rows = chosen.mapInPandas(run, "id bigint, positive int, features binary").toPandas()
+    kind = dict(docs.dtypes)[key]
+    rows = chosen.mapInPandas(run, f"id {kind}, positive int, features binary").toPandas()
     rows = rows.sort_values(["positive", "id"])
     sets = [
         np.frombuffer(b"".join(rows.loc[rows["positive"] == p, "features"]), np.float32)

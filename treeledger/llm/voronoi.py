@@ -47,24 +47,29 @@ def integer_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
 
 
 def _matrix_code():
-    """Helpers for tasks: vectors as bytes of 64-bit integers, to a matrix and back."""
-    import numpy as np
+    """Helpers for tasks: vectors as bytes of 64-bit integers, to a matrix and back. Made inside a
+    function, so that executors need no copy of this package."""
 
-    def matrix(cells, dim):
-        out = np.zeros((len(cells), dim), np.int64)
-        for i, cell in enumerate(cells):
-            v = np.frombuffer(cell, np.int64)
-            out[i, : len(v)] = v
-        return out
+    def made():
+        import numpy as np
+
+        def matrix(cells, dim):
+            out = np.zeros((len(cells), dim), np.int64)
+            for i, cell in enumerate(cells):
+                v = np.frombuffer(cell, np.int64)
+                out[i, : len(v)] = v
+            return out
+
+        def product(a, b):
+            """Exact: in doubles where all sums stay below 2 to the 53rd, else in integers."""
+            most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
+            if most < 2**53:
+                return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
+            return a @ b.T
 
-    def product(a, b):
-        """Exact: in doubles where all sums stay below 2 to the 53rd, else in integers."""
-        most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
-        if most < 2**53:
-            return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
-        return a @ b.T
+        return matrix, product
 
-    return matrix, product
+    return made
 
 
 def top_k(
@@ -74,7 +79,7 @@ def top_k(
     """``(query_id, rank, vec_id, score)``: the best ``k`` other vectors of each row that meets
     ``is_query``, a condition on ``id``."""
     spark = rows.sparkSession
-    code = _matrix_code
+    code = _matrix_code()
     vectors = integer_vectors(rows, key, vector)
     chosen = vectors.orderBy(F.xxhash64("id"), "id", "vec").limit(pivots).collect()
     empty = "query_id bigint, rank int, vec_id bigint, score bigint"
@@ -112,7 +117,8 @@ def top_k(
         for batch in batches:
             for cell, away in batch.groupby("cell")["away"]:
                 least[cell] = np.sort(np.concatenate([least.get(cell, np.empty(0)), away.to_numpy()]))[: k + 1]
-        yield pd.DataFrame({"cell": pd.array(list(least), "int32"), "least": list(least.values())})
+        if least:  # a task may have no rows, and an empty column of lists has no type
+            yield pd.DataFrame({"cell": pd.array(list(least), "int32"), "least": list(least.values())})
 
     near = (
         cells.select("cell", "away").mapInPandas(summarize, "cell int, least array<double>")
