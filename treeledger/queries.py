@@ -73,7 +73,7 @@ def write_tree(spark, folder) -> DataFrame:
 def copy_tree(spark, folder) -> DataFrame:
     source, target = _mount(spark, "from"), _mount(spark, "to")
     tree.write_tree(
-        _document_files(spark, folder, "s1").select("location_path", "content"), source
+        _document_files(spark, folder).select("location_path", "content"), source
     )
     files = tree.scan_tree(spark, source).where("type = 'file'")
     # Pieces far below the usual size, so that files are put together from several tasks.

@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 
 from treeledger.functions import paths as P
 from treeledger.operators.nodes import classify_entries
-from treeledger.plans.copying import chunk_plan
-from treeledger.schema import COPY_BUFFER_BYTES
-from treeledger.sources.store import shared_dir
+from treeledger.plans.copying import balanced_pieces
+from treeledger.sources.store import shared_dir, stored
 
 # Entries a task lists before it hands the folders it has not opened yet to the next round.
 FIRST_BUDGET = 2_000
@@ -22,11 +21,12 @@ BUDGET = 200_000
 # Bytes that one batch between Python and the JVM may hold.
 BATCH_BYTES = 32 * 1024 * 1024
 
-# Folders of a scan round, and bytes of files, for a task.
+# Folders of a scan round for a task.
 FOLDERS_PER_TASK = 100
-BYTES_PER_TASK = 256 * 1024 * 1024
 
-_LISTING = "path string, is_dir boolean, length bigint, mtime timestamp, pending boolean"
+# ``raw`` holds a path that is not UTF-8, whose ``path`` is then only for reading; ``problem`` says what
+# could not be listed.
+_LISTING = "path string, is_dir boolean, length bigint, mtime timestamp, pending boolean, raw binary, problem string"
 
 
 def _tasks(spark: SparkSession, items: int, per_task: int) -> int:
@@ -37,12 +37,21 @@ def _tasks(spark: SparkSession, items: int, per_task: int) -> int:
 
 def _lister(budget: int):
     def walk(batches):
+        import errno
         import os
         from datetime import datetime, timezone
 
         import pandas as pd
 
-        columns = ["path", "is_dir", "length", "mtime", "pending"]
+        columns = ["path", "is_dir", "length", "mtime", "pending", "raw", "problem"]
+
+        def row(path, is_dir, length=None, when=None, pending=False, problem=None):
+            try:
+                path.encode()
+            except UnicodeEncodeError:
+                raw = os.fsencode(path)
+                return raw.decode("utf-8", "replace"), is_dir, length, when, pending, raw, problem or "not_utf8"
+            return path, is_dir, length, when, pending, None, problem
 
         def frame(rows):
             out = pd.DataFrame(rows, columns=columns)
@@ -53,29 +62,31 @@ def _lister(budget: int):
         seen, rows = 0, []
         for batch in batches:
             for start in batch["path"]:
-                stack = [start]
+                stack = [os.fsdecode(start)]
                 while stack:
                     folder = stack.pop()
                     if seen > budget:
-                        rows.append((folder, True, None, None, True))
+                        rows.append(row(folder, True, pending=True))
                         continue
                     try:
                         entries = os.scandir(folder)
-                    except OSError:
+                    except OSError as problem:
                         # The folder's own row stands; what it holds cannot be read.
+                        rows.append(row(folder, True, problem=errno.errorcode.get(problem.errno, "EIO")))
                         continue
                     with entries:
                         for entry in entries:
                             try:
                                 info = entry.stat(follow_symlinks=False)
                                 is_dir = entry.is_dir(follow_symlinks=False)
-                            except OSError:
+                            except OSError as problem:
+                                rows.append(row(entry.path, None, problem=errno.errorcode.get(problem.errno, "EIO")))
                                 continue
                             seen += 1
                             when = datetime.fromtimestamp(info.st_mtime, timezone.utc)
-                            rows.append((entry.path, is_dir, info.st_size, when, False))
+                            rows.append(row(entry.path, is_dir, info.st_size, when))
                             if is_dir and seen > budget:
-                                rows.append((entry.path, True, None, None, True))
+                                rows.append(row(entry.path, True, pending=True))
                             elif is_dir:
                                 stack.append(entry.path)
                             if len(rows) >= 10_000:
@@ -87,10 +98,8 @@ def _lister(budget: int):
     return walk
 
 
-def list_entries(
-    spark: SparkSession, root: str, first_budget: int = FIRST_BUDGET, budget: int = BUDGET
-) -> DataFrame:
-    """Raw entries ``(path, is_dir, length, mtime)`` of all levels below ``root``.
+def _list_all(spark: SparkSession, root: str, first_budget: int, budget: int) -> DataFrame:
+    """Rows of ``_LISTING`` for all levels below ``root``.
 
     Tasks walk folders until their budget is used up; folders left unopened are spread over all
     tasks of the next round. So one deep or wide subtree does not stay with one task. Every round is
@@ -99,30 +108,62 @@ def list_entries(
     if not os.path.isdir(root):
         raise NotADirectoryError(root)
     out = shared_dir(spark, "scan")
-    frontier = spark.createDataFrame([(root,)], "path string").coalesce(1)
+    frontier = spark.createDataFrame([(root.encode(),)], "path binary").coalesce(1)
     round_no = 0
     while True:
         target = f"{out}/round={round_no}"
         walk = _lister(budget if round_no else first_budget)
         frontier.select("path").mapInPandas(walk, _LISTING).write.parquet(target)
-        unopened = spark.read.schema(_LISTING).parquet(target).where("pending").select("path")
+        unopened = spark.read.schema(_LISTING).parquet(target).where("pending").select(
+            F.coalesce("raw", F.encode("path", "UTF-8")).alias("path")
+        )
         if unopened.isEmpty():
             break
         # An explicit number, which adaptive execution leaves alone: these rows are small, the work
         # behind them is not.
         frontier = unopened.repartition(_tasks(spark, unopened.count(), FOLDERS_PER_TASK), "path")
         round_no += 1
-    entries = spark.read.schema(_LISTING + ", round int").parquet(out)
-    return entries.where("not pending").select("path", "is_dir", "length", "mtime")
+    return spark.read.schema(_LISTING + ", round int").parquet(out).where("not pending")
+
+
+def list_entries(
+    spark: SparkSession, root: str, first_budget: int = FIRST_BUDGET, budget: int = BUDGET
+) -> DataFrame:
+    """Raw entries ``(path, is_dir, length, mtime)`` of all levels below ``root``, without those that
+    :func:`scan_errors` has to tell of."""
+    entries = _list_all(spark, root, first_budget, budget).where("problem is null")
+    return entries.select("path", "is_dir", "length", "mtime")
 
 
-def scan_tree(spark: SparkSession, root: str, **budgets: int) -> DataFrame:
+def _errors(entries: DataFrame) -> DataFrame:
+    return entries.where("problem is not null").select("path", "raw", "problem").distinct()
+
+
+def scan_tree_with_errors(
+    spark: SparkSession, root: str, first_budget: int = FIRST_BUDGET, budget: int = BUDGET
+) -> tuple[DataFrame, DataFrame]:
+    """``(nodes, errors)`` of one scan. ``errors(path, raw, problem)`` names what is missing in the nodes:
+    folders that cannot be opened and entries without a state, by the name of the error, and names that
+    are not UTF-8 (``not_utf8``), whose bytes are in ``raw``."""
+    root = _absolute(root)
+    entries = _list_all(spark, root, first_budget, budget)
+    good = entries.where("problem is null").select("path", "is_dir", "length", "mtime")
+    return classify_entries(good, root), _errors(entries)
+
+
+def scan_tree(spark: SparkSession, root: str, strict: bool = False, **budgets: int) -> DataFrame:
     """Node rows of a mounted tree: hidden and empty files are kept, links are files, entries that
-    cannot be read are left out. The root itself is no row."""
+    cannot be read are left out, or an error if ``strict``. The root itself is no row."""
+    nodes, errors = scan_tree_with_errors(spark, root, **budgets)
+    if strict and (some := errors.limit(5).collect()):
+        raise OSError("; ".join(f"{r['path']}: {r['problem']}" for r in some))
+    return nodes
+
+
+def _absolute(root: str) -> str:
     if not root.startswith("/"):
         raise ValueError("the root must be an absolute path")
-    root = os.path.normpath(root)
-    return classify_entries(list_entries(spark, root, **budgets), root)
+    return os.path.normpath(root)
 
 
 def read_chunks(files: DataFrame, buffer: int = 0) -> DataFrame:
@@ -132,11 +173,10 @@ def read_chunks(files: DataFrame, buffer: int = 0) -> DataFrame:
     Pieces, not files, are spread over tasks, so a file of any size is read by many and none has to
     fit a row. A file that cannot be opened is ``not_found``.
     """
-    spark = files.sparkSession
-    size, count = files.agg(F.sum("size"), F.count(F.lit(1))).first()
-    step = buffer if buffer > 0 else COPY_BUFFER_BYTES
-    tasks = _tasks(spark, (size or 0) // step + count, max(1, BYTES_PER_TASK // step))
-    plan = chunk_plan(files, buffer).repartition(tasks, "node_id", "chunk_no")
+    plan = stored(balanced_pieces(files, buffer), "pieces")
+    tasks = (plan.agg(F.max("task")).first()[0] or 0) + 1
+    # A partition is a share of the work, whatever the number of files in it.
+    plan = plan.repartitionById(tasks, F.col("task")).drop("task")
     limit = BATCH_BYTES
 
     def read(batches):
@@ -164,7 +204,7 @@ def read_chunks(files: DataFrame, buffer: int = 0) -> DataFrame:
     return plan.mapInPandas(read, f"{fields}, content binary, status string")
 
 
-def write_tree(rows: DataFrame, root: str) -> DataFrame:
+def write_tree(rows: DataFrame, root: str, create: bool = True) -> DataFrame:
     """Write files ``(location_path, content[, start_byte])`` below ``root`` and return one status
     row per file: ``(location_path, size, status)``.
 
@@ -172,7 +212,8 @@ def write_tree(rows: DataFrame, root: str) -> DataFrame:
     to a staged file, next the list of pieces is stored as a table, and only then a second job moves
     complete files to their place. Files whose pieces overlap or leave gaps, or do not reach the
     ``planned_size`` that the rows may name, are ``incomplete`` and stay out; where rows name a
-    ``problem``, that is their status. Staging is beside ``root``, if that is on the same mount. The move can be repeated: after a failure, ``commit_tree`` finishes from the table.
+    ``problem``, that is their status. Without ``create`` only files that exist are replaced, others are
+    ``not_found``. Staging is beside ``root``, if that is on the same mount. The move can be repeated: after a failure, ``commit_tree`` finishes from the table.
     """
     if not root.startswith("/"):
         raise ValueError("the root must be an absolute path")
@@ -203,13 +244,14 @@ def write_tree(rows: DataFrame, root: str) -> DataFrame:
         import os
 
         for batch in batches:
-            lengths = []
+            lengths, inodes = [], []
             for staged, start_byte, content in zip(
                 batch["staged"], batch["start_byte"], batch["content"]
             ):
                 os.makedirs(os.path.dirname(staged), exist_ok=True)
                 handle = os.open(staged, os.O_WRONLY | os.O_CREAT, 0o644)
                 try:
+                    inodes.append(os.fstat(handle).st_ino)
                     view, at = memoryview(content or b""), int(start_byte)
                     lengths.append(len(view))
                     while view:
@@ -218,15 +260,15 @@ def write_tree(rows: DataFrame, root: str) -> DataFrame:
                 finally:
                     os.close(handle)
             kept = ["location_path", "staged", "start_byte", "planned_size", "problem"]
-            yield batch[kept].astype({"planned_size": "Int64"}).assign(length=lengths)
+            yield batch[kept].astype({"planned_size": "Int64"}).assign(length=lengths, inode=inodes)
 
     manifest = shared_dir(spark, "manifest")
     pieces.mapInPandas(
         stage,
         "location_path string, staged string, start_byte bigint, planned_size bigint, problem string, "
-        "length bigint",
+        "length bigint, inode bigint",
     ).write.parquet(manifest)
-    status = commit_tree(spark, manifest, root)
+    status = commit_tree(spark, manifest, root, create)
     for part in os.listdir(staging):
         # Folders that still hold refused files stay for inspection.
         try:
@@ -240,10 +282,12 @@ def write_tree(rows: DataFrame, root: str) -> DataFrame:
     return status
 
 
-def commit_tree(spark: SparkSession, manifest: str, root: str) -> DataFrame:
-    """Move the staged files of a manifest to their place below ``root``; safe to run again."""
+def commit_tree(spark: SparkSession, manifest: str, root: str, create: bool = True) -> DataFrame:
+    """Move the staged files of a manifest to their place below ``root``; safe to run again: a file that
+    an earlier run moved is known by its inode (by its size, where a manifest names no inode). One that is
+    neither staged nor moved is ``lost``, whatever stands in its place."""
     pieces = spark.read.parquet(manifest)
-    for name, kind in (("planned_size", "bigint"), ("problem", "string")):
+    for name, kind in (("planned_size", "bigint"), ("problem", "string"), ("inode", "bigint")):
         if name not in pieces.columns:
             pieces = pieces.withColumn(name, F.lit(None).cast(kind))
     file = ["location_path", "staged"]
@@ -277,9 +321,11 @@ def commit_tree(spark: SparkSession, manifest: str, root: str) -> DataFrame:
         .agg(
             F.sum("length").alias("size"), F.max("planned_size").alias("planned_size"),
             F.min("problem").alias("problem"),
+            # One staged file, whoever wrote into it; its number stays with it when it is moved.
+            F.when(F.min("inode") == F.max("inode"), F.max("inode")).cast("string").alias("inode"),
         )
         .join(loose, file, "left")
-        .select(*file, "size", whole.alias("whole"), F.coalesce("problem", F.lit("incomplete")).alias("refusal"))
+        .select(*file, "size", "inode", whole.alias("whole"), F.coalesce("problem", F.lit("incomplete")).alias("refusal"))
     )
 
     def move(batches):
@@ -287,20 +333,27 @@ def commit_tree(spark: SparkSession, manifest: str, root: str) -> DataFrame:
 
         for batch in batches:
             outcome = []
-            for location, staged, size, whole, refusal in zip(
-                batch["location_path"], batch["staged"], batch["size"], batch["whole"], batch["refusal"]
+            for location, staged, size, inode, whole, refusal in zip(
+                batch["location_path"], batch["staged"], batch["size"], batch["inode"], batch["whole"], batch["refusal"]
             ):
                 final = root + location
                 if not whole:
                     outcome.append(refusal)
                     continue
                 try:
+                    if os.path.isfile(final) and not os.path.exists(staged):
+                        found = os.stat(final)
+                        moved = str(found.st_ino) == inode if inode else found.st_size == size
+                        outcome.append("written" if moved else "lost")  # by an earlier run, or not at all
+                        continue
+                    if not create and not os.path.isfile(final):
+                        outcome.append("not_found")
+                        continue
                     os.makedirs(os.path.dirname(final), exist_ok=True)
                     os.replace(staged, final)
                     outcome.append("written")
                 except FileNotFoundError:
-                    moved = os.path.isfile(final) and os.path.getsize(final) == size
-                    outcome.append("written" if moved else "lost")
+                    outcome.append("lost")
                 except OSError as problem:
                     outcome.append(f"failed: {problem.strerror}")
             yield batch[["location_path", "size"]].assign(status=outcome)
