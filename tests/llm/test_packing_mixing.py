@@ -148,3 +148,24 @@ def test_attribution(spark, documents, empty):
         assert chars[r["doc_id"]] == copies * len(r["text"] or "")
         assert tokens[r["doc_id"]] == copies * len(coder.encode_ordinary(r["text"] or ""))
     assert attribution.attribute(empty, attribution.lines(F.col("text"))).count() == 0
+
+
+def test_words_are_encoded_as_in_the_tokenizer():
+    """Hundreds of thousands of words, real and hostile, against the tokenizer itself."""
+    import random
+
+    import pyarrow.parquet as pq
+    from tokenizers import Tokenizer
+
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column(0).to_pylist()
+    words = {w for t in texts for w in (t or "").encode().split()}
+    draw = random.Random(6)
+    signs = "abcxyzABZ'''sStTrvmld019.,-_<|>!\"#~`^$\\/×÷ªµº²¼ßÀÖØÞàöøÿéñÉÜ漢ж́İ"
+    words |= {"".join(draw.choice(signs) for _ in range(draw.randint(1, 12))).encode() for _ in range(60_000)}
+    words |= {b"<|endoftext|>", b"a<|startoftext|>b", b"it's", b"'tis", b"\"'s", b"rock'n'roll", b"x" * 5000, b"ab\x01cd", b"\x01", b"\x1c"}
+    known = {}
+    packing._word_coder()(packing.tokenizer_path())(words, known)
+    coder, words = Tokenizer.from_file(packing.tokenizer_path()), sorted(words)
+    wanted = coder.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+    wrong = [w for w, e in zip(words, wanted) if known[w] != np.array(e.ids, "<u4").tobytes()]
+    assert len(known) == len(words) and not wrong, wrong[:10]

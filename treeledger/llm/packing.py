@@ -34,6 +34,61 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def _word_coder():
+    """``make(file)`` gives ``learn(words, known)``, which puts the ids of words, as bytes, into ``known``."""
+
+    def make(where):
+        import json
+        import os
+        import re
+
+        import numpy as np
+        import tiktoken
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        encoder = Tokenizer.from_file(where)
+        with open(where, encoding="utf-8") as source:
+            file = json.load(source)
+        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        letter = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
+        special = {t["content"] for t in file["added_tokens"]}
+        # A part ends with the byte 1, which stands for the vocabulary's word end.
+        ranks, ends = {}, np.zeros(max(file["model"]["vocab"].values()) + 1, bool)
+        for text, number in file["model"]["vocab"].items():
+            if text not in special:
+                ends[number] = text.endswith("</w>")
+                ranks[bytes(letter[c] for c in text.removesuffix("</w>")) + b"\x01" * bool(ends[number])] = number
+        coder = tiktoken.Encoding("parts", pat_str="[^\\x01]+\\x01", mergeable_ranks=ranks, special_tokens={})
+        simple = re.compile(rb"(?:[\x21-\x7e]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+").fullmatch
+        split = re.compile(
+            rb"'s|'t|'re|'ve|'m|'ll|'d|(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+|[0-9]|[\x21-\x2f\x3a-\x60\x7b-\x7e]+"
+        ).findall
+
+        def learn(words, known):
+            some, odd = [], []
+            for word in words:
+                (some if simple(word) and b"<|" not in word else odd).append(word)
+            for at in range(0, len(some), 20_000):
+                now = some[at : at + 20_000]
+                parts = [split(w.lower() if w.isascii() else w.decode().lower().encode()) for w in now]
+                line = b"\x01".join([p for word in parts for p in word]) + b"\x01"
+                ids = np.array(coder.encode_ordinary(line.decode()), np.int64)
+                close = np.flatnonzero(ends[ids]) + 1
+                cuts = [0, *(4 * close[np.cumsum([len(p) for p in parts]) - 1]).tolist()]
+                known.update(zip(now, map(ids.astype("<u4").tobytes().__getitem__, map(slice, cuts, cuts[1:]))))
+            for at in range(0, len(odd), 20_000):
+                now = odd[at : at + 20_000]
+                coded = encoder.encode_batch_fast([w.decode() for w in now], add_special_tokens=False)
+                for word, code in zip(now, coded):
+                    known[word] = np.array(code.ids, "<u4").tobytes()
+
+        return learn
+
+    return make
+
+
 def pack(
     docs: DataFrame, tokenizer: str | None = None, key: str = "doc_id", text: str = "text",
     tiers: tuple[int, ...] = TIERS, end: int = END, batch_tokens: int = BATCH_TOKENS,
@@ -45,69 +100,38 @@ def pack(
     The tokenizer's file must be at the same path on every executor. It must part texts at white space
     and lower-cased words into runs of letters, single digits and runs of other signs, as
     ``word_bpe_49k.json`` does: each different word is then encoded once, not each word of each text.
+    Words of ASCII and Latin-1 letters, digits and signs go through the same vocabulary and merges as
+    ranks, their parts ended by a sign of their own; all other words through the tokenizer as it is.
     """
     where = tokenizer or tokenizer_path()
-    sizes = sorted(tiers)
+    make, sizes = _word_coder(), sorted(tiers)
     longest = sizes[-1]
 
     def run(batches):
         import heapq
-        import os
-        import re
+        import sys
         from bisect import bisect_right, insort
+        from types import ModuleType
 
         import numpy as np
         import pandas as pd
         from pyspark import TaskContext
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        encoder, known, pieces = Tokenizer.from_file(where), {}, {}
+        # Tokenizer and known words stay with the Python worker, for the tasks it gets later.
+        kept = sys.modules.setdefault("kept_for_packing", ModuleType("kept_for_packing"))
+        if getattr(kept, "where", None) != where:
+            kept.tools, kept.known, kept.where = make(where), {}, where
+        learn, known = kept.tools, kept.known
         stop = np.array([end], "<u4").tobytes()
-        simple = re.compile(rb"[\x21-\x26\x28-\x7e]+").fullmatch
-        split = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+").findall
         task = TaskContext.get().partitionId() << 32
         serial, steps = 0, 0
 
-        def encode(parts):
-            """Ids of each part, as bytes. Parts are encoded in one text, parted by spaces."""
-            coded = encoder.encode(" ".join(parts), add_special_tokens=False)
-            ids = np.array(coded.ids, "<u4").tobytes()
-            cuts = np.flatnonzero(np.diff(coded.word_ids)) + 1
-            if len(cuts) + 1 == len(parts):
-                ends = [0, *(4 * cuts).tolist(), len(ids)]
-                return [ids[a:b] for a, b in zip(ends, ends[1:])]
-            return [np.array(encoder.encode(p, add_special_tokens=False).ids, "<u4").tobytes() for p in parts]
-
-        def learn(words):
-            """Words of ASCII letters, digits and signs fall apart where the tokenizer parts them, and
-            share most parts; all others are encoded as they are."""
-            plain, odd = {}, []
-            for word in words:
-                if simple(word) and b"<|" not in word:
-                    plain[word] = split(word.lower())
-                else:
-                    odd.append(word)
-            new = list({p for parts in plain.values() for p in parts if p not in pieces})
-            for at in range(0, len(new), 1000):
-                some = new[at : at + 1000]
-                pieces.update(zip(some, encode([p.decode() for p in some])))
-            for word, parts in plain.items():
-                known[word] = b"".join([pieces[p] for p in parts])
-            for at in range(0, len(odd), 20_000):
-                some = odd[at : at + 20_000]
-                coded = encoder.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-                for word, code in zip(some, coded):
-                    known[word] = np.array(code.ids, "<u4").tobytes()
-
         def tokens(texts):
             """Ids of each text with the end token, as bytes."""
             lines = [(t or "").encode("utf-8", "replace").split() for t in texts]
-            if len(known) + len(pieces) > 600_000:
+            if len(known) > 600_000:
                 known.clear()
-                pieces.clear()
-            learn({w for line in lines for w in line if w not in known})
+            learn({w for line in lines for w in line if w not in known}, known)
             return [b"".join(map(known.__getitem__, line)) + stop for line in lines]
 
         def plan(parts, final):
