@@ -29,7 +29,7 @@ from pyspark.sql.window import Window
 from treeledger.sources.store import stored
 
 # Tokens of A that a block holds, and one document more.
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
 
 
 def byte_tokens(path: str | None = None) -> dict[bytes, int]:
@@ -197,7 +197,7 @@ def align(
             """Ids of both for each text. No token of either goes on behind a space, so what stands
             between single spaces is encoded once, and texts with odd parts are encoded whole."""
             nonlocal known
-            if len(known) > 400_000:
+            if len(known) > 300_000:
                 known = Parts()
             none = np.zeros(0, np.int64)
             out, numbers, number = [(none, none)] * len(texts), {}, known.__getitem__

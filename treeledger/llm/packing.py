@@ -55,28 +55,29 @@ def _word_coder():
         letter = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
         special = {t["content"] for t in file["added_tokens"]}
         # A part ends with the byte 1, which stands for the vocabulary's word end.
-        ranks, ends = {}, np.zeros(max(file["model"]["vocab"].values()) + 1, bool)
+        ranks = {}
         for text, number in file["model"]["vocab"].items():
             if text not in special:
-                ends[number] = text.endswith("</w>")
-                ranks[bytes(letter[c] for c in text.removesuffix("</w>")) + b"\x01" * bool(ends[number])] = number
+                ranks[bytes(letter[c] for c in text.removesuffix("</w>")) + b"\x01" * text.endswith("</w>")] = number
         coder = tiktoken.Encoding("parts", pat_str="[^\\x01]+\\x01", mergeable_ranks=ranks, special_tokens={})
         simple = re.compile(rb"(?:[\x21-\x7e]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+").fullmatch
         split = re.compile(
-            rb"'s|'t|'re|'ve|'m|'ll|'d|(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+|[0-9]|[\x21-\x2f\x3a-\x60\x7b-\x7e]+"
+            rb"'s|'t|'re|'ve|'m|'ll|'d|(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+|[0-9]|[\x21-\x2f\x3a-\x60\x7b-\x7e]+|\n"
         ).findall
 
+        # A line end between words becomes a token of its own, which no word holds.
+        between = ranks[b"\n\x01"]
+
         def learn(words, known):
-            some, odd = [], []
-            for word in words:
-                (some if simple(word) and b"<|" not in word else odd).append(word)
+            some = [w for w in filter(simple, words) if b"<|" not in w]
+            odd = list(set(words).difference(some))
             for at in range(0, len(some), 20_000):
                 now = some[at : at + 20_000]
-                parts = [split(w.lower() if w.isascii() else w.decode().lower().encode()) for w in now]
-                line = b"\x01".join([p for word in parts for p in word]) + b"\x01"
-                ids = np.array(coder.encode_ordinary(line.decode()), np.int64)
-                close = np.flatnonzero(ends[ids]) + 1
-                cuts = [0, *(4 * close[np.cumsum([len(p) for p in parts]) - 1]).tolist()]
+                parts = split(b"\n".join(now).decode().lower().encode())
+                ids = np.array(coder.encode_ordinary((b"\x01".join(parts) + b"\x01").decode()), np.int64)
+                cuts = np.flatnonzero(ids == between)
+                ids, cuts = np.delete(ids, cuts), cuts - np.arange(len(cuts))
+                cuts = [0, *(4 * cuts).tolist(), 4 * len(ids)]
                 known.update(zip(now, map(ids.astype("<u4").tobytes().__getitem__, map(slice, cuts, cuts[1:]))))
             for at in range(0, len(odd), 20_000):
                 now = odd[at : at + 20_000]
@@ -129,9 +130,9 @@ def pack(
         def tokens(texts):
             """Ids of each text with the end token, as bytes."""
             lines = [(t or "").encode("utf-8", "replace").split() for t in texts]
-            if len(known) > 600_000:
+            if len(known) > 500_000:
                 known.clear()
-            learn({w for line in lines for w in line if w not in known}, known)
+            learn(set().union(*lines).difference(known), known)
             return [b"".join(map(known.__getitem__, line)) + stop for line in lines]
 
         def plan(parts, final):
