@@ -75,6 +75,11 @@ def op7_quality_rules(spark, folder):
     )
 
 
+def op7_rule_ablation(spark, folder):
+    """What each rule of each policy does to all documents, from the ledger's bits alone."""
+    return ledger.ablate(ledger.build_ledger(_table(spark, folder, "documents")))
+
+
 def op8_url_filter(spark, folder):
     """All pages. The given tables hold no block list; listed are the canonical URLs that more than
     one page has."""
@@ -128,6 +133,7 @@ QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_token_counts": op6_token_counts,
     "op7_quality_rules": op7_quality_rules,
+    "op7_rule_ablation": op7_rule_ablation,
     "op8_url_filter": op8_url_filter,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_simhash": op10_simhash,
@@ -167,6 +173,19 @@ f AS (
 SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, failed = 0 AS kept FROM f
 """
 
+OP7_ABLATION_SQL = f"""
+WITH book AS ({OP7_SQL}),
+cases(policy, rule, bit, whole) AS (VALUES
+  ('base', 'few_words', 1, 3), ('base', 'repeated_windows', 2, 3),
+  ('2', 'few_words', 1, 63), ('2', 'repeated_windows', 2, 63), ('2', 'symbols', 4, 63), ('2', 'capitals', 8, 63),
+  ('2', 'repeated_lines', 16, 63), ('2', 'word_length', 32, 63))
+SELECT policy, rule, CAST(count(*) FILTER (WHERE failed & bit <> 0) AS BIGINT) AS failing,
+       CAST(count(*) FILTER (WHERE failed & whole = bit) AS BIGINT) AS only_this,
+       CAST(count(*) FILTER (WHERE failed & (whole - bit) = 0) AS BIGINT) AS kept_without,
+       bit_or(failed) AS bits_seen
+FROM book, cases GROUP BY policy, rule
+"""
+
 OP8_SQL = r"""
 WITH p AS (
   SELECT page_id, coalesce(url, '') AS url,
@@ -258,4 +277,4 @@ SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT)
 FROM y LEFT JOIN z USING (r)
 """
 
-ORACLES = {"op11_resampling": OP11_SQL, "op1_voronoi_knn": OP1_SQL, "op7_quality_rules": OP7_SQL, "op8_url_filter": OP8_SQL}
+ORACLES = {"op11_resampling": OP11_SQL, "op1_voronoi_knn": OP1_SQL, "op7_quality_rules": OP7_SQL, "op7_rule_ablation": OP7_ABLATION_SQL, "op8_url_filter": OP8_SQL}
