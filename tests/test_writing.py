@@ -231,3 +231,20 @@ def test_sessions_and_roots(spark):
     )
     shown = {r.id: r.metadata.get("rootPath") for r in routing.list_sources(services, nodes).collect()}
     assert shown["a"] == "/" and shown["b"] is None
+
+
+def test_bucket_count_is_the_stores_own(spark, tmp_path):
+    """Another count than the store was written with would leave old rows beside new ones."""
+    path = str(tmp_path / "contents")
+    rows = [("w", str(i), b"old") for i in range(20)]
+    kind = "world string, node_id string, content binary"
+    store.write_contents(spark.createDataFrame(rows, kind), path, 8)
+    changed = spark.createDataFrame([("w", "3", b"new")], kind)
+    with pytest.raises(ValueError, match="8 buckets, not 16"):
+        store.replace_contents(spark, changed, path, 16)
+    with pytest.raises(ValueError, match="8 buckets, not 16"):
+        content.read_stored(changed.select("world", "node_id"), path, 16)
+    store.replace_contents(spark, changed, path)
+    got = sorted((r.node_id, bytes(r.content)) for r in store.scan_contents(spark, path).collect())
+    assert got == sorted((i, b"new" if i == "3" else b"old") for _, i, _ in rows)
+    assert content.read_stored(changed.select("world", "node_id"), path).first().status == "ok"

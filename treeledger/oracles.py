@@ -329,7 +329,7 @@ def oracle_sql() -> dict[str, str]:
             CAST(size AS BIGINT) AS size, type FROM ({doc_nodes})
           WHERE world = 'primary' AND location_path <> '/'""",
         "scan_nodes": _with(NODES) + f"SELECT {NODE_OUT} FROM nodes WHERE world = 's1'",
-        "write_nodes": _with(NODES) + f"SELECT {NODE_OUT} FROM nodes",
+        "write_nodes": _with(LOCAL) + f"SELECT {NODE_OUT} FROM allnodes",
         "read_content": _with(DOCS) + """SELECT a.world, a.node_id,
             CASE WHEN f.node_id IS NULL THEN 'not_found' ELSE 'ok' END AS status,
             CAST(f.size AS BIGINT) AS bytes, f.digest
@@ -360,9 +360,9 @@ def oracle_sql() -> dict[str, str]:
         "relocate_nodes": _relocated(RELOCATE_ROOT, False),
         "relocate_nodes_compat": _relocated(RELOCATE_ROOT, True),
         "child_paths": _with(LOCAL) + """SELECT parent_id, name,
-            CASE WHEN parent_path = '/' AND node_id LIKE '/database%' THEN '/'||name ELSE location_path END
+            CASE WHEN location_path = '/' THEN '/'||name ELSE location_path END
             AS location_path, node_id AS physical_path FROM mounted
-          WHERE type = 'file'""",
+          WHERE parent_id IS NOT NULL""",
         "root_guard": _with(LOCAL) + f"""SELECT node_id AS path, ok AS allowed,
             CASE WHEN NOT ok THEN 'path '||node_id||' is outside allowed root {RELOCATE_ROOT}' END
             AS violation FROM (SELECT node_id, node_id = '{RELOCATE_ROOT}'
@@ -387,6 +387,13 @@ def oracle_sql() -> dict[str, str]:
           FROM asked a LEFT JOIN nodes n ON n.world = a.world AND n.node_id = a.parent_id""",
         "list_children": _with(NODES) + FOLDER_REQUESTS + f"""SELECT request_id, {NODE_OUT}
           FROM asked JOIN nodes USING (world, parent_id)""",
+        "children_once": _with(NODES) + FOLDER_REQUESTS + f""",
+          folders AS (SELECT request_id, a.world, a.parent_id FROM asked a
+            JOIN nodes n ON n.world = a.world AND n.node_id = a.parent_id AND n.type = 'folder')
+          SELECT request_id, {NODE_OUT} FROM (
+            SELECT NULL AS request_id, n.* FROM nodes n
+              WHERE (world, parent_id) IN (SELECT (world, parent_id) FROM folders)
+            UNION ALL BY NAME SELECT * FROM folders)""",
         "child_counts": _with(NODES) + counts.format(table="nodes") + """SELECT n.world, n.node_id,
             coalesce(total, 0) AS total, coalesce(total_folders, 0) AS total_folders,
             coalesce(total, 0) - coalesce(total_folders, 0) AS total_files
@@ -485,10 +492,11 @@ def oracle_sql() -> dict[str, str]:
             md5(data) AS digest FROM judged WHERE status = 'committed'""",
         "commit_files_status": _with(COMMITS) + """SELECT folder||'/'||name AS path,
             CAST(seq AS BIGINT) AS commit_seq, status FROM judged""",
-        "overwrite_files": _with(OVERWRITES) + """SELECT p.node_id,
-            CAST(coalesce(octet_length(encode(data)), p.size) AS BIGINT) AS size,
-            CASE WHEN data IS NULL THEN p.digest ELSE md5(data) END AS digest
-          FROM primary_files p LEFT JOIN judged j ON j.node_id = p.node_id AND status = 'written'""",
+        "overwrite_files": _with(OVERWRITES) + """SELECT f.world, f.node_id,
+            CAST(coalesce(octet_length(encode(data)), f.size) AS BIGINT) AS size,
+            CASE WHEN data IS NULL THEN f.digest ELSE md5(data) END AS digest
+          FROM files f LEFT JOIN judged j
+            ON f.world = 'primary' AND j.node_id = f.node_id AND status = 'written'""",
         "overwrite_files_status": _with(OVERWRITES) + """SELECT node_id,
             CAST(seq AS BIGINT) AS write_seq, status FROM judged""",
         "source_order": "",

@@ -24,8 +24,10 @@ def create_folders(wanted: DataFrame, nodes: DataFrame) -> tuple[DataFrame, Data
         "world", F.col("location_path").alias("step"), F.col("type").alias("_type"),
         F.col("node_id").alias("_id"),
     )
+    # Existing nodes meet the steps before anything else, so that a few steps do not shuffle all nodes.
+    places = stored(steps.select("world", "step").distinct(), "places")
     known = stored(
-        steps.select("world", "step").distinct().join(existing, ["world", "step"], "left"), "steps"
+        places.join(existing.join(places, ["world", "step"], "left_semi"), ["world", "step"], "left"), "steps"
     )
 
     blocked = (
@@ -82,6 +84,7 @@ def stage_files(wanted: DataFrame, nodes: DataFrame, compat: bool = False) -> Da
     The stub keeps the caller's size and metadata. Its path is built on the parent's own path; with
     ``compat`` on the parent's parent path. Rows whose parent is missing or no folder carry a status.
     """
+    # Nodes nobody names are dropped first: by a broadcast of the names, where these are few.
     parents = nodes.select(
         "world",
         F.col("node_id").alias("parent_id"),
@@ -90,7 +93,7 @@ def stage_files(wanted: DataFrame, nodes: DataFrame, compat: bool = False) -> Da
             "parent_path"
         ),
         F.col("depth_level").alias("_depth"),
-    )
+    ).join(wanted.select("world", "parent_id").distinct(), ["world", "parent_id"], "left_semi")
     parent_path = P.filled(F.col("parent_path"))
     status = (
         F.when(F.col("_type").isNull(), "not_found")

@@ -97,7 +97,7 @@ def write_nodes(spark, folder) -> DataFrame:
     """A new node store from the given tables, read back whole."""
     path = store.shared_dir(spark, "nodes")
     store.write_nodes(X.build_star_nodes(spark, folder), path)
-    return spark.read.schema(NODES).parquet(path).where("world <> 'local'").select(*_shown())
+    return spark.read.schema(NODES).parquet(path).select(*_shown())
 
 
 def read_content(spark, folder) -> DataFrame:
@@ -158,7 +158,7 @@ def child_paths(spark, folder) -> DataFrame:
     parents = nodes.folders_only(local).select(
         c("node_id").alias("parent_id"), c("location_path").alias("parent_path")
     )
-    return pathjobs.child_paths(parents, local.where("type = 'file'").select("parent_id", "name"))
+    return pathjobs.child_paths(parents, local.where("parent_id IS NOT NULL").select("parent_id", "name"))
 
 
 def classify_entries(spark, folder) -> DataFrame:
@@ -180,6 +180,12 @@ def _services(spark, folder) -> DataFrame:
     return routing.service_dimension(X.raw_services(spark, folder)).where("status = 'ok'")
 
 
+def children_once(spark, folder) -> DataFrame:
+    """Both parts in one: the folder of each request, and each child with no request."""
+    folders, children = listing.children_once(X.folder_requests(spark, folder), X.star_nodes(spark, folder))
+    return folders.unionByName(children.select(*_shown()), allowMissingColumns=True)
+
+
 def resolve_requests(spark, folder) -> DataFrame:
     return routing.resolve_requests(
         X.requests(spark, folder), _services(spark, folder), X.sessions(spark)
@@ -328,12 +334,12 @@ def _overwrites(spark, folder):
 
 
 def overwrite_files(spark, folder) -> DataFrame:
-    """The whole content store after the overwrites went in."""
-    path, buckets = store.shared_dir(spark, "contents"), 8
-    store.write_contents(X.document_contents(spark, folder).where("world = 'primary'"), path, buckets)
-    store.replace_contents(spark, _overwrites(spark, folder).contents, path, buckets)
+    """The whole content store, both worlds, after the overwrites went in."""
+    path = store.shared_dir(spark, "contents")
+    store.write_contents(X.document_contents(spark, folder), path, 8)
+    store.replace_contents(spark, _overwrites(spark, folder).contents, path)
     return store.scan_contents(spark, path).select(
-        "node_id", F.octet_length("content").cast("bigint").alias("size"), _digest()
+        "world", "node_id", F.octet_length("content").cast("bigint").alias("size"), _digest()
     )
 
 
@@ -390,6 +396,7 @@ QUERIES = {
     "list_children": lambda s, d: listing.list_children(
         X.folder_requests(s, d), X.star_nodes(s, d)
     ).select(*_shown("request_id")),
+    "children_once": children_once,
     "child_counts": lambda s, d: nodes.child_counts(X.star_nodes(s, d)),
     "name_order": lambda s, d: paging.name_order(X.star_nodes(s, d)).select(*_shown("idx")),
     "name_order_skewed": lambda s, d: paging.name_order(_skewed(s, d)).select(*_shown("idx")),

@@ -15,9 +15,11 @@ from treeledger.functions import paths as P
 from treeledger.operators.pathjobs import normalize_nodes
 from treeledger.schema import CONTENTS, NODE_COLUMNS, NODES, byte_length
 
-# ``length`` is stored beside the bytes, so that sizes can be read without them.
+# ``length`` is stored beside the bytes, so that sizes can be read without them; ``buckets``, the number
+# of buckets, in every row, so that it cannot be lost or mistaken.
 _STORED_CONTENTS = T.StructType([
-    *CONTENTS.fields, T.StructField("length", T.LongType()), T.StructField("bucket", T.IntegerType()),
+    *CONTENTS.fields, T.StructField("length", T.LongType()), T.StructField("buckets", T.IntegerType()),
+    T.StructField("bucket", T.IntegerType()),
 ])
 
 
@@ -72,15 +74,26 @@ def with_bucket(contents: DataFrame, buckets: int) -> DataFrame:
 
 
 def write_contents(contents: DataFrame, path: str, buckets: int) -> None:
-    """A new content store. ``buckets`` is fixed for its life; size it for buckets of about 256 MB."""
+    """A new content store. ``buckets`` is fixed for its life and written into it; size it for buckets of
+    about 256 MB."""
+    rows = contents.select(*CONTENTS.fieldNames(), byte_length(contents), F.lit(buckets).cast("int").alias("buckets"))
     (
-        with_bucket(contents.select(*CONTENTS.fieldNames(), byte_length(contents)), buckets)
+        with_bucket(rows, buckets)
         .repartition("world", "bucket")
         .write.partitionBy("world", "bucket")
         .parquet(path)
     )
 
 
+def stored_buckets(spark: SparkSession, path: str, given: int | None = None) -> int | None:
+    """The number of buckets of a content store; None for a store without rows. Another number than the
+    store's is refused, since rows would be looked for in the wrong buckets."""
+    row = scan_contents(spark, path).select("buckets").limit(1).collect()
+    if row and given not in (None, row[0][0]):
+        raise ValueError(f"the store at {path} has {row[0][0]} buckets, not {given}")
+    return row[0][0] if row else given
+
+
 def scan_contents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(_STORED_CONTENTS).parquet(path)
 
@@ -96,12 +109,18 @@ def in_buckets(contents: DataFrame, keys: DataFrame) -> DataFrame:
     return contents.join(touched.where("bucket >= 0"), ["world", "bucket"], "left_semi")
 
 
-def replace_contents(spark: SparkSession, changed: DataFrame, path: str, buckets: int) -> None:
+def replace_contents(spark: SparkSession, changed: DataFrame, path: str, buckets: int | None = None) -> None:
     """Put changed contents in place of the old ones, rewriting only the buckets they fall into.
 
+    The number of buckets is the store's; one that is given must be the same, and is needed for a store
+    without rows only. ``sources.chunkstore`` is the store that keeps its old state if a change fails.
+
     The changed rows are written to the shared folder first: they are used three times, and they may
     have been derived from the store that is rewritten.
     """
+    buckets = stored_buckets(spark, path, buckets)
+    if buckets is None:
+        raise ValueError(f"the store at {path} has no rows: say how many buckets it shall have")
     pending = shared_dir(spark, "replace")
     write_contents(changed, pending, buckets)
     new = scan_contents(spark, pending)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from treeledger.functions import paths as P
 from treeledger.schema import CONTENTS, FILE, NODE_COLUMNS, byte_length
-from treeledger.sources.store import in_buckets, scan_contents, stored, with_bucket
+from treeledger.sources.store import in_buckets, scan_contents, stored, stored_buckets, with_bucket
 
 CONTENT_KEY = ["world", "node_id"]
 HANDLE = ["world", "parent_id", "name"]
@@ -43,9 +43,11 @@ def read_content(files: DataFrame, contents: DataFrame) -> DataFrame:
     return there.unionByName(missing)
 
 
-def read_stored(files: DataFrame, path: str, buckets: int) -> DataFrame:
-    """:func:`read_content` from a content store; reads only the buckets that the ids fall into."""
+def read_stored(files: DataFrame, path: str, buckets: int | None = None) -> DataFrame:
+    """:func:`read_content` from a content store; reads only the buckets that the ids fall into. Their
+    number is the store's; one that is given must be the same."""
     stored_contents = scan_contents(files.sparkSession, path)
+    buckets = stored_buckets(files.sparkSession, path, buckets) or 1
     return read_content(files, in_buckets(stored_contents, with_bucket(files, buckets)))
 
 
@@ -140,7 +142,9 @@ def overwrite_files(writes: DataFrame, nodes: DataFrame) -> Written:
         writes.select(*CONTENT_KEY, "write_seq", byte_length(writes).alias("_bytes")), "attempts"
     )
     latest = attempts.groupBy(*CONTENT_KEY).agg(F.max("write_seq").alias("_latest"))
-    targets = latest.join(nodes, CONTENT_KEY, "left").select(
+    # Nodes nobody writes to are dropped first: by a broadcast of the ids, where these are few.
+    named = nodes.join(attempts.select(*CONTENT_KEY).distinct(), CONTENT_KEY, "left_semi")
+    targets = latest.join(named, CONTENT_KEY, "left").select(
         *CONTENT_KEY, "_latest", F.struct(*NODE_COLUMNS).alias("_node")
     )
     status = (
