@@ -93,6 +93,33 @@ def test_search_sends_only_what_is_needed(spark):
     assert [r["vec_id"] for r in found] == [i for i in range(7, 60, 4)][:10]
 
 
+def test_search_counts_what_is_sent(spark):
+    """Clusters in eight directions: each group of queries is sent its own cluster and few others, and the
+    best are those of brute force."""
+    rng = np.random.default_rng(3)
+    centres = [(np.cos(a), np.sin(a)) for a in np.arange(8) * np.pi / 4]
+    vectors = np.array([50 * np.array(centres[i % 8]) + rng.normal(0, 0.5, 2) for i in range(4000)])
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    asked_for = F.col("id") % 50 == 0
+    asked, data, _ = voronoi._sent(frame, asked_for, 10, "vec_id", "embedding", 64, 4096, 100, 10)
+    groups = asked.select("group").distinct().count()
+    assert groups >= 4
+    # All groups together are sent less than each row once; without bounds it were each row to each group.
+    assert data.count() < len(rows)
+    # Slices follow what a group is sent, not the whole table.
+    assert asked.agg(F.max("slice")).first()[0] < 10
+    exact = np.floor(vectors * 1024).astype(np.int64)
+    found = {}
+    for r in voronoi.top_k(frame, asked_for, 10, pivots=64, slice_rows=100, group_queries=10).collect():
+        found.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
+    assert sorted(found) == list(range(0, 4000, 50))
+    for q, best in found.items():
+        scores = exact @ exact[q]
+        order = [i for i in np.lexsort((np.arange(4000), -scores)) if i != q][:10]
+        assert [best[n] for n in range(1, 11)] == [(i, scores[i]) for i in order]
+
+
 def test_ledger(documents, empty):
     rows = {r["doc_id"]: r for r in ledger.build_ledger(documents).collect()}
     assert rows[2]["n_words"] == rows[3]["n_words"] == rows[4]["n_words"] == 0 and rows[2]["failed"] & 1
