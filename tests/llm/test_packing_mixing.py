@@ -61,13 +61,60 @@ def test_packing_of_all_documents(spark, data):
 
 
 def test_targets():
-    assert mixing.targets([100, 100, 100]) == [200, 450 / 6 + 0, 150] or sum(mixing.targets([100, 100, 100])) == 450
+    # 225, 75 and 150 by weight; the first stops at 200, and 25 are shared out one to two.
+    assert np.allclose(mixing.targets([100, 100, 100]), [200, 250 / 3, 500 / 3])
     got = mixing.targets([10, 1000, 0, 1000])
     assert got[0] == 20 and got[2] == 0 and abs(sum(got) - 1.5 * 2010) < 1e-6
     assert all(t <= 2 * s + 1e-9 for t, s in zip(got, [10, 1000, 0, 1000]))
     assert mixing.targets([]) == [] and mixing.targets([0]) == [0]
 
 
+def test_slots_are_drawn_multinomially(spark):
+    """Every slot of every source once, in shards whose counts scatter as independent draws do."""
+    shape = [(300, 60_000, 5), (7, 20_000, 0), (9_000, 40_000, 0), (4, 0, 0)]
+    sources = [{"blocks": b, "slots": n, "cut": c} for b, n, c in shape]
+    rows = mixing._slots(spark, sources, 11).toPandas()
+    again = mixing._slots(spark, sources, 11).toPandas()
+    order = ["shard", "slot"]
+    assert rows.sort_values(order).reset_index(drop=True).equals(again.sort_values(order).reset_index(drop=True))
+    assert not rows.duplicated(order).any() and not rows.duplicated(["src", "block", "pass"]).any()
+    for src, (blocks, slots, cut) in enumerate(shape):
+        mine = rows[rows["src"] == src]
+        assert len(mine) == slots and (mine["block"] < blocks).all()
+        # Each pass is whole before the next begins.
+        passes = mine.groupby("pass").size()
+        assert (passes.iloc[:-1] == blocks).all()
+        assert mine["words"].notna().sum() == (cut > 0)
+    counts = rows.groupby(["shard", "src"]).size().unstack(fill_value=0)
+    full = counts[counts.sum(axis=1) == mixing.SHARD_SLOTS]
+    assert len(full) > 100 and counts.sum(axis=1).max() == mixing.SHARD_SLOTS
+    p = 0.5
+    spread = full[0].std() / np.sqrt(mixing.SHARD_SLOTS * p * (1 - p))
+    assert abs(full[0].mean() / mixing.SHARD_SLOTS - p) < 0.01 and 0.75 < spread < 1.25
+
+
+def test_running_sums_in_two_levels(spark, data, monkeypatch):
+    """Many small buckets and shelves: the words of a source still lie in one line without gaps."""
+    monkeypatch.setattr(mixing, "BUCKET_WORDS", 300)
+    monkeypatch.setattr(mixing, "SHELF_BUCKETS", 3)
+    docs = spark.read.parquet(f"{data}/documents.parquet").withColumn("row", F.monotonically_increasing_id())
+    sized = mixing._sized(docs, "doc_id", "text", "source")
+    sources = mixing._source_table(sized, mixing.WEIGHTS, 1.5, 2.0, mixing.BLOCK_WORDS)
+    assert max(s["buckets"] for s in sources) > 9
+    table = spark.createDataFrame([tuple(s[f.name] for f in mixing._SOURCES) for s in sources], mixing._SOURCES)
+    at = defaultdict(list)
+    for r in mixing._pieces(sized, table).where("length > 0").collect():
+        at[r["src"], r["block"]].append((r["in_block"], r["length"]))
+    for s in sources:
+        assert sum(k[0] == s["src"] for k in at) == s["blocks"]
+    for (src, block), parts in at.items():
+        end = 0
+        for start, length in sorted(parts):
+            assert start == end
+            end += length
+        assert end == sources[src]["base"] + (block < sources[src]["extra"])
+
+
 def test_mixing(spark, data):
     query = entry.queries()["op5_mixing"]
     docs = {r["doc_id"]: r for r in spark.read.parquet(f"{data}/documents.parquet").collect()}

@@ -2,8 +2,9 @@
 
 The words of each source, in the order of its documents, are cut into blocks of ``block_words`` at
 most (equal but for one word). The mix is a list of output shards, each of so many slots. For a shard
-the number of slots of each source is drawn at random (multinomial, from what each source has left to
-give, so that the sums are exact). The slots of a source are counted through, and slot ``j`` holds
+the number of slots of each source is drawn multinomially by the target shares. A task draws the shards
+of its part of all slots; a source whose part is used up gives no more (its later draws go to the others), and
+the last shard settles what is left, so that the sums are exact. The slots of a source are counted through, and slot ``j`` holds
 block ``permutation(j mod blocks)``: a keyed pseudorandom permutation of the block numbers, another
 for each pass. So nothing is stored to know what a slot holds, any shard can be made alone, and a
 block is used once before any is used twice. The last slot of a source is cut so that its words
@@ -31,6 +32,7 @@ from treeledger.sources.store import stored
 
 BLOCK_WORDS = 256
 BUCKET_WORDS = 100_000
+SHELF_BUCKETS = 4096
 SHARD_SLOTS = 1024
 SHARDS_PER_TASK = 64
 MAX_SOURCES = 100_000
@@ -95,7 +97,8 @@ def _slots(spark, sources: list[dict], seed: int) -> DataFrame:
     counts = [s["slots"] for s in sources]
     blocks, cuts = [s["blocks"] for s in sources], [s["cut"] for s in sources]
     tasks = max(1, math.ceil(sum(counts) / (SHARD_SLOTS * SHARDS_PER_TASK)))
-    shard_slots, shards_per_task = SHARD_SLOTS, SHARDS_PER_TASK
+    # A shard has a slot at least, so no task makes more shards than it has slots.
+    shard_slots, shard_bits = SHARD_SLOTS, (SHARD_SLOTS * SHARDS_PER_TASK + len(counts)).bit_length()
 
     def run(batches):
         import numpy as np
@@ -128,11 +131,17 @@ def _slots(spark, sources: list[dict], seed: int) -> DataFrame:
                 # This task's part of every source's slots, and the shards drawn from it.
                 at = np.array([k * c // tasks for c in counts], np.int64)
                 left = np.array([(k + 1) * c // tasks for c in counts], np.int64) - at
+                share = left.astype(np.float64)
                 draw = np.random.default_rng([seed, k])
                 shard = 0
                 while left.sum():
-                    size = min(shard_slots, int(left.sum()))
-                    taken = draw.multivariate_hypergeometric(left, size, method="marginals")
+                    if left.sum() > shard_slots:
+                        open_ = np.where(left > 0, share, 0.0)
+                        # A shard is shorter where a source has less left than was drawn.
+                        taken = np.minimum(draw.multinomial(shard_slots, open_ / open_.sum()), left)
+                    else:
+                        taken = left.copy()
+                    size = int(taken.sum())
                     src = np.repeat(np.arange(len(taken)), taken)
                     j = np.concatenate([np.arange(at[s], at[s] + taken[s]) for s in np.flatnonzero(taken)])
                     order = draw.permutation(size)
@@ -150,7 +159,7 @@ def _slots(spark, sources: list[dict], seed: int) -> DataFrame:
                         for s, q in zip(src.tolist(), j.tolist())
                     ]
                     yield pd.DataFrame({
-                        "shard": k * shards_per_task + shard, "slot": np.arange(size), "src": src.astype(np.int32),
+                        "shard": (k << shard_bits) + shard, "slot": np.arange(size), "src": src.astype(np.int32),
                         "block": block, "pass": turn.astype(np.int32), "words": pd.array(cut, "Int64"),
                     })
                     at, left, shard = at + taken, left - taken, shard + 1
@@ -164,9 +173,21 @@ def _pieces(sized: DataFrame, table: DataFrame) -> DataFrame:
     blocks; one piece without a block for a document without words."""
     rows = sized.join(F.broadcast(table), sized["source"].eqNullSafe(table["source"])).drop(table["source"])
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("key", "digest"), F.col("buckets")))
-    totals = rows.groupBy("src", "bucket").agg(F.sum("size").alias("words"))
-    before = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select("src", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("first"))
+    # Running sums over buckets in two levels: a large source has too many buckets for one task.
+    totals = rows.groupBy("src", "bucket").agg(F.sum("size").alias("words")).withColumn(
+        "shelf", F.expr(f"bucket div {SHELF_BUCKETS}")
+    )
+    earlier = Window.unboundedPreceding, -1
+    shelves = Window.partitionBy("src").orderBy("shelf").rowsBetween(*earlier)
+    shelf_starts = totals.groupBy("src", "shelf").agg(F.sum("words").alias("words")).select(
+        "src", "shelf", F.coalesce(F.sum("words").over(shelves), F.lit(0)).alias("shelf_first")
+    )
+    before = Window.partitionBy("src", "shelf").orderBy("bucket").rowsBetween(*earlier)
+    starts = (
+        totals.withColumn("in_shelf", F.coalesce(F.sum("words").over(before), F.lit(0)))
+        .join(shelf_starts, ["src", "shelf"])
+        .select("src", "bucket", (F.col("shelf_first") + F.col("in_shelf")).alias("first"))
+    )
     inside = (
         Window.partitionBy("src", "bucket").orderBy("key", "digest", "row")
         .rowsBetween(Window.unboundedPreceding, -1)
