@@ -135,3 +135,20 @@ def test_cut_repeats(spark, documents, empty):
     whole = spark.createDataFrame([(1, "w " * 80), (2, "w " * 80)], "doc_id bigint, text string")
     assert [r["doc_id"] for r in suffixes.cut_repeats(whole).collect()] == [1]
     assert suffixes.cut_repeats(whole.withColumn("spans", F.lit(1))).columns == ["doc_id", "text", "spans"]
+
+
+def test_rows_without_id_are_documents_of_their_own(spark):
+    """Two of them share a passage with each other, and one with a row that has an id."""
+    passage = " ".join(f"p{i}" for i in range(60))
+    other = " ".join(f"q{i}" for i in range(60))
+    rows = [(None, f"one {passage} end"), (None, f"two two {passage} stop {other}"), (7, f"seven {other}")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    spans = suffixes.repeated_spans(docs).collect()
+    # Each passage stays once, and is cut once; the row with an id comes first.
+    assert sorted((r["kept"], r["n_words"]) for r in spans) == [(False, 60), (False, 60), (True, 60), (True, 60)]
+    cut = [r["text"].split() for r in suffixes.cut_repeats(docs).collect()]
+    words = [w for text in cut for w in text]
+    assert words.count("p0") == words.count("q0") == 1 and len(words) == 120 + 6
+    assert next(r["text"] for r in suffixes.cut_repeats(docs).collect() if r["doc_id"] == 7) == f"seven {other}"
+    twice = docs.where("doc_id is null").unionByName(docs.where("doc_id is null"))
+    assert suffixes.repeated_spans(twice).count() == 2

@@ -22,7 +22,8 @@ hashes of words in order.
 
 Defined results: null, empty and short texts (under ``least`` words) have no spans. Rows that repeat
 with id and text are one document. Rows that share an id but not the text are one document as to where
-a passage stays, but cut each by its own spans. A null id counts as the largest. No rows give no spans.
+a passage stays, but cut each by its own spans. Rows with a null id are documents of their own, told apart by
+their texts, and come after all others (ids from 2 to the 62nd on are theirs). No rows give no spans.
 Other columns are carried by ``cut_repeats`` and ignored else.
 """
 
@@ -35,7 +36,7 @@ from treeledger.sources.store import stored
 
 LEAST = 50
 RUN = 10
-LAST_ID = 2**63 - 1
+FIRST_NULL_ID = 2**62
 
 
 def _hashes(least: int, run: int):
@@ -170,9 +171,16 @@ def _window_rows(docs: DataFrame, least: int, run: int) -> DataFrame:
     return docs.mapInPandas(task, "window bigint, doc bigint, digest bigint, at int")
 
 
+def _doc(key: str, text: str) -> Column:
+    """The id, or for a null one a number from the text, beyond other ids."""
+    own = F.lit(FIRST_NULL_ID) + F.pmod(F.xxhash64(text_of(text)), F.lit(FIRST_NULL_ID))
+    return F.coalesce(F.col(key).cast("bigint"), own)
+
+
 def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    doc = F.coalesce(F.col(key).cast("bigint"), F.lit(LAST_ID))
-    return docs.select(doc.alias("doc"), F.xxhash64(text_of(text)).alias("digest"), text_of(text).alias("text"))
+    return docs.select(
+        _doc(key, text).alias("doc"), F.xxhash64(text_of(text)).alias("digest"), text_of(text).alias("text")
+    )
 
 
 def repeated_ranges(
@@ -273,7 +281,7 @@ def cut_repeats(
     )
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
-        F.coalesce(F.col(key).cast("bigint"), F.lit(LAST_ID)).alias("doc"),
+        _doc(key, text).alias("doc"),
         F.xxhash64(text_of(text)).alias("digest"),
     ).join(cuts, ["doc", "digest"], "left")
     cut = F.col("spans").isNotNull()
