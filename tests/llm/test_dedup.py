@@ -152,3 +152,71 @@ def test_rows_without_id_are_documents_of_their_own(spark):
     assert next(r["text"] for r in suffixes.cut_repeats(docs).collect() if r["doc_id"] == 7) == f"seven {other}"
     twice = docs.where("doc_id is null").unionByName(docs.where("doc_id is null"))
     assert suffixes.repeated_spans(twice).count() == 2
+
+
+def test_runs_over_the_borders_of_partitions(spark, tmp_path):
+    """One passage in all documents, whose suffixes lie in several partitions of the sorted table: each
+    run has one number and one first document there, and equal suffixes are compared once."""
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, f"own{i} " + " ".join(f"x{i}y{k}" for k in range(30)) + f" {passage} end{i}") for i in range(400)]
+    docs = spark.createDataFrame([*rows, rows[5], rows[5]], "doc_id bigint, text string")
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "6"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+        keyed = suffixes._keyed(docs, "doc_id", "text")
+        kept = suffixes._suffix_rows(keyed, 50, 10)
+        matched = suffixes._matched(kept).collect()
+        heads = [r[0] for r in kept.where("doc <> 5").unionByName(kept.where("doc = 5").distinct()).groupBy("head")
+                 .agg(F.countDistinct("doc").alias("n"), F.count("*").alias("rows")).where("n > 1").select("rows").collect()]
+        assert sorted(heads) == sorted(
+            sum(r["run_id"] == run for r in matched) for run in {r["run_id"] for r in matched}
+        )
+        least = defaultdict(set)
+        for r in matched:
+            least[r["run_id"], r["first_doc"]].add(r["doc"])
+        assert len(least) == len(heads) and all(min(docs) == first for (_, first), docs in least.items())
+        pieces = suffixes._compared(kept).where("head is not null")
+        assert pieces.groupBy("head").count().where("count > 1").count() > 0
+        found = found_spans(suffixes.repeated_spans(docs))
+        assert found == plain_spans([(i, t.split()) for i, t in rows], 50)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_neighbours_in_small_batches(spark):
+    """Runs that begin, wait and end in any place of a batch, against a count of documents a run."""
+    draw = random.Random(2)
+    rows = []
+    for _ in range(600):
+        doc = draw.randrange(40)
+        rows.append((f"h{draw.randrange(90)}", 1, 1, doc, doc % 3, draw.randrange(4), 9))
+    schema = "head string, whole1 bigint, whole2 bigint, doc bigint, digest bigint, first int, last int"
+    frame = spark.createDataFrame(rows, schema)
+    wanted = defaultdict(set)
+    for r in rows:
+        wanted[r[0]].add((r[3], r[4], r[5]))
+    wanted = {h: v for h, v in wanted.items() if len({x[0] for x in v}) > 1}
+    try:
+        for size in (1, 3, 500):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(size))
+            found = defaultdict(set)
+            for r in suffixes._matched(frame).collect():
+                found[r["run_id"]].add((r["doc"], r["digest"], r["first"]))
+                assert r["first_doc"] <= r["doc"]
+            assert sorted(map(sorted, found.values())) == sorted(map(sorted, wanted.values()))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+
+
+def test_very_long_words(spark):
+    """Words beyond 64 bytes count by all of their letters."""
+    long = ["a" * 5000 + str(i) + "b" * 5000 for i in range(60)]
+    other = [*long[:30], long[30] + "c", *long[31:]]
+    rows = [(1, " ".join(long)), (2, " ".join(long)), (3, " ".join(other))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert found_spans(suffixes.repeated_spans(docs)) == plain_spans([(i, t.split()) for i, t in rows], 50)

@@ -142,6 +142,20 @@ QUERIES = {
     "op13_descent": op13_descent,
 }
 
+OP4_SQL = r"""
+WITH d AS (SELECT DISTINCT doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
+p AS (SELECT r, doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w WHERE len(ws) >= 50),
+x AS (SELECT r, doc_id, i - 1 AS a, sha256(array_to_string(ws[i:i + 49], ' ')) AS g FROM p),
+s AS (SELECT g, min(doc_id) AS first_doc FROM x GROUP BY g HAVING min(doc_id) <> max(doc_id)),
+y AS (SELECT r, doc_id, a, first_doc, doc_id = first_doc AS kept FROM x JOIN s USING (g)),
+z AS (SELECT *, CASE WHEN lag(a) OVER (PARTITION BY r, kept ORDER BY a) + 50 >= a THEN 0 ELSE 1 END AS n FROM y),
+q AS (SELECT *, sum(n) OVER (PARTITION BY r, kept ORDER BY a ROWS UNBOUNDED PRECEDING) AS span FROM z)
+SELECT doc_id, CAST(min(a) AS BIGINT) AS start_word, CAST(max(a) + 50 - min(a) AS BIGINT) AS n_words, kept,
+       min(first_doc) AS first_doc_id
+FROM q GROUP BY r, doc_id, kept, span
+"""
+
 OP7_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
@@ -277,4 +291,11 @@ SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT)
 FROM y LEFT JOIN z USING (r)
 """
 
-ORACLES = {"op11_resampling": OP11_SQL, "op1_voronoi_knn": OP1_SQL, "op7_quality_rules": OP7_SQL, "op7_rule_ablation": OP7_ABLATION_SQL, "op8_url_filter": OP8_SQL}
+ORACLES = {
+    "op1_voronoi_knn": OP1_SQL,
+    "op4_suffix_dedup": OP4_SQL,
+    "op7_quality_rules": OP7_SQL,
+    "op7_rule_ablation": OP7_ABLATION_SQL,
+    "op8_url_filter": OP8_SQL,
+    "op11_resampling": OP11_SQL,
+}

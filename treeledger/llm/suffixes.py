@@ -3,22 +3,29 @@
 Of all suffixes (from every word to the end of the text) only those at minimisers are kept: in every
 window of ``least`` words, the run of ``run`` words with the smallest hash. Equal windows choose the
 same place, so whatever two documents share over ``least`` words or more has a kept suffix in both.
-The suffixes are brought in order by their first ``run`` words; suffixes that start alike are
-neighbours. Neighbours are compared and their match extended to the left and right, as far as the
-windows reach that chose this suffix:
 
-* Each suffix carries a hash of all the words its windows cover. Where all neighbours agree in it, they
-  match to both ends, and nothing more has to be read.
+The suffixes are sorted by range on their first ``run`` words, the words themselves, and then by
+document. Rows stream by in that order and each is compared with its neighbour: suffixes that start alike
+are a run, and a run in which a neighbour is of another document is a repeat. A run may go on over the
+border of a partition; the first and the last run of each partition are put together afterwards, from a
+table of two rows per partition at most. All others are settled as they pass, and those without a repeat
+go no further.
+
+Matches are then extended to the left and right, as far as the windows reach that chose this suffix:
+
+* Each suffix carries a digest of all the words its windows cover. Where all of a run agree in it, they
+  match to both ends.
 * Where they differ, the extension is made one word at a time: every window of these suffixes is
-  compared by its own hash.
+  compared.
 
 Windows that documents share are joined to spans. A span stays in the document with the smallest id
 and is cut from the others. A shared passage is therefore found to the word, and none of fewer than
 ``least`` words is touched. Repeats inside one document only are not looked for.
 
-A passage may be in a third of all documents: groups are only ever counted (which combines before the
-shuffle) and joined with one row per group (which the skew join splits). Comparisons are by 64-bit
-hashes of words in order.
+A passage may be in a third of all documents: the range sort cuts its run wherever the balance asks for
+it, groups are only ever counted (which combines before the shuffle) and joined with one row per group
+(which the skew join splits). Suffixes are compared by their words, extensions by 128-bit digests of the
+words. In both, a word of over 64 bytes stands as its SHA-256, so that rows stay small.
 
 Defined results: null, empty and short texts (under ``least`` words) have no spans. Rows that repeat
 with id and text are one document. Rows that share an id but not the text are one document as to where
@@ -39,13 +46,15 @@ RUN = 10
 FIRST_NULL_ID = 2**62
 
 
-def _hashes(least: int, run: int):
-    """A function that makes word hashes, run hashes and window hashes of a text. It is made anew in
-    each task, so that executors need no copy of this module."""
+def _tools(least: int, run: int):
+    """A function that makes what texts are cut and compared with. It is called in each task, so that
+    executors need no copy of this module."""
 
     def made():
+        from hashlib import sha256
+
         import numpy as np
-        from xxhash import xxh64_intdigest as digest
+        from xxhash import xxh3_128_digest, xxh64_intdigest
 
         base = 0x9E3779B97F4A7C15
 
@@ -53,114 +62,227 @@ def _hashes(least: int, run: int):
             h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
             return h ^ (h >> np.uint64(29))
 
-        def spans(words, length):
-            """Hash of every ``length`` words in order, put together from powers of two."""
-            out, done, power, size = None, 0, words, 1
-            while True:
-                if length & size:
-                    if out is None:
-                        out = power
-                    else:
-                        n = min(len(out), len(power) - done) if len(power) > done else 0
-                        out = out[:n] * np.uint64(pow(base, size, 1 << 64)) + power[done : done + n]
-                    done += size
-                if done == length:
-                    return out
-                n = max(0, len(power) - size)
-                power = power[:n] * np.uint64(pow(base, size, 1 << 64)) + power[size : size + n]
-                size *= 2
-
-        def of(text):
-            words = np.array([digest(w) for w in text.encode("utf-8", "replace").split()], np.uint64)
+        def cut(text):
+            """The words one after another, with a space between them, and where each begins; nothing
+            for a text of fewer than ``least`` words."""
+            words = text.encode("utf-8", "replace").split()
             if len(words) < least:
                 return None
-            words = mixed(words)
-            return words, mixed(spans(words, run)), mixed(spans(words, least))
-
-        def chosen(runs):
-            """For every window the place of its smallest run, and the groups of windows with one place."""
-            width = least - run + 1
-            view = np.lib.stride_tricks.sliding_window_view(runs, width)
+            words = [w if len(w) <= 64 else b"\x01" + sha256(w).hexdigest().encode() for w in words]
+            places = np.zeros(len(words) + 1, np.int64)
+            np.cumsum([len(w) + 1 for w in words], out=places[1:])
+            return words, b" ".join(words), places.tolist()
+
+        def chosen(words):
+            """The places of the smallest runs, and the first and last window that chose each."""
+            hashes = mixed(np.array([xxh64_intdigest(w) for w in words], np.uint64))
+            n = len(words) - run + 1
+            runs = np.zeros(n, np.uint64)
+            for k in range(run):
+                runs = runs * np.uint64(base) + hashes[k : k + n]
+            view = np.lib.stride_tricks.sliding_window_view(mixed(runs), least - run + 1)
             place = view.argmin(axis=1) + np.arange(len(view))
             first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
             last = np.concatenate((first[1:], [len(place)])) - 1
             return place[first], first, last
 
-        def covered(words, first, last):
-            """Hash of the words from the first to the end of the last window of each group."""
-            total = np.zeros(len(words) + 1, np.uint64)
-            inverse = pow(base, -1, 1 << 64)
-            # Weights base^-i make prefix sums comparable after a shift by base^first.
-            weight = np.full(len(words), inverse, np.uint64)
-            weight[0] = 1
-            weight = np.multiply.accumulate(weight)
-            total[1:] = np.cumsum(words * weight)
-            shift = np.full(len(words), base, np.uint64)
-            shift[0] = 1
-            shift = np.multiply.accumulate(shift)
-            end = last + least
-            return mixed((total[end] - total[first]) * shift[first])
-
-        return of, chosen, covered
+        def digests(pieces):
+            """Two 64-bit halves of a digest of each piece."""
+            return np.frombuffer(b"".join(map(xxh3_128_digest, pieces)), "<i8").reshape(-1, 2)
+
+        return cut, chosen, digests
 
     return made
 
 
 def _suffix_rows(docs: DataFrame, least: int, run: int) -> DataFrame:
-    """``(start, whole, doc, digest, first, last)``: the kept suffixes. ``start`` is the hash of the
-    first words, ``whole`` of all that the suffix's windows ``first`` to ``last`` cover."""
-    make = _hashes(least, run)
+    """The kept suffixes: ``head``, the first words, ``whole1`` and ``whole2``, a digest of all that the
+    suffix's windows ``first`` to ``last`` cover, and the document."""
+    make = _tools(least, run)
 
     def task(batches):
         import numpy as np
         import pandas as pd
 
-        of, chosen, covered = make()
-        names = ["start", "whole", "doc", "digest", "first", "last"]
+        cut, chosen, digests = make()
+        names = ["head", "whole1", "whole2", "doc", "digest", "first", "last"]
+
+        def frame(out):
+            heads = [h for row in out for h in row[0]]
+            rest = map(np.concatenate, zip(*(row[1:] for row in out)))
+            return pd.DataFrame(dict(zip(names, [heads, *rest])))
+
         for batch in batches:
             out, held = [], 0
             for doc, digest, text in zip(batch["doc"].tolist(), batch["digest"].tolist(), batch["text"]):
-                found = of(text)
+                found = cut(text)
                 if found is None:
                     continue
-                words, runs, _ = found
-                place, first, last = chosen(runs)
-                # Where in the covered words the place is, belongs to what is compared.
-                whole = covered(words, first, last) ^ ((place - first).astype(np.uint64) << np.uint64(1))
-                whole ^= (last - first).astype(np.uint64) << np.uint64(20)
+                words, line, at = found
+                place, first, last = chosen(words)
                 n = len(place)
+                # Where in the covered words the place is, belongs to what is compared.
+                whole = digests(
+                    b"%d " % (p - f) + line[at[f] : at[z + least] - 1]
+                    for p, f, z in zip(place.tolist(), first.tolist(), last.tolist())
+                )
+                heads = [line[at[p] : at[p + run] - 1].decode("utf-8") for p in place.tolist()]
                 out.append((
-                    runs[place].view(np.int64), whole.view(np.int64), np.full(n, doc), np.full(n, digest),
+                    heads, whole[:, 0], whole[:, 1], np.full(n, doc), np.full(n, digest),
                     first.astype(np.int32), last.astype(np.int32),
                 ))
                 held += n
-                if held > 200_000:
-                    yield pd.DataFrame(dict(zip(names, map(np.concatenate, zip(*out)))))
+                if held > 50_000:
+                    yield frame(out)
                     out, held = [], 0
             if out:
-                yield pd.DataFrame(dict(zip(names, map(np.concatenate, zip(*out)))))
+                yield frame(out)
+
+    return docs.mapInPandas(
+        task, "head string, whole1 bigint, whole2 bigint, doc bigint, digest bigint, first int, last int"
+    )
 
-    return docs.mapInPandas(task, "start bigint, whole bigint, doc bigint, digest bigint, first int, last int")
+
+def _compared(suffixes: DataFrame) -> DataFrame:
+    """Suffixes in order, each compared with the one before it; those go on whose run has a suffix of
+    another document, or may have it beyond the partition's border.
+
+    ``(run_id, first_doc, whole1, whole2, doc, digest, first, last)``: ``run_id`` is the same for
+    suffixes of a partition that start alike, ``first_doc`` the smallest document of them there. Beside
+    them, a row with ``head`` (null in the others) and ``last_doc`` tells of the first and of the last run
+    of each partition. Rows are held only while a run has shown no second document: the suffixes of one
+    document that start alike.
+    """
+    order = ["head", "doc", "digest", "first"]
+
+    def task(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        carried = ["whole1", "whole2", "doc", "digest", "first", "last"]
+        kinds = [pa.int64()] * 4 + [pa.int32()] * 2
+        names = ["run_id", "first_doc", *carried, "head", "last_doc"]
+
+        def batch_of(run, first_doc, columns):
+            n = len(run)
+            arrays = [pa.array(run), pa.array(first_doc), *columns, pa.nulls(n, pa.string()), pa.nulls(n, pa.int64())]
+            return pa.RecordBatch.from_arrays(arrays, names=names)
+
+        # Of the run that goes on: its words, number, first document, whether it has a second one, and the
+        # rows that wait for that; of the row before, all that makes it equal to a repeated one.
+        head, number, first_doc, repeated, waiting, before = None, None, None, False, [], None
+        opening = None
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            heads = batch.column("head")
+            doc, digest, first = (batch.column(c).to_numpy() for c in ("doc", "digest", "first"))
+            new, twin = np.ones(n, bool), np.zeros(n, bool)
+            new[1:] = pc.not_equal(heads[1:], heads[:-1]).to_numpy(zero_copy_only=False)
+            twin[1:] = (doc[1:] == doc[:-1]) & (digest[1:] == digest[:-1]) & (first[1:] == first[:-1])
+            start = heads[0].as_py()
+            new[0] = start != head
+            if number is None:
+                base = int(batch.column("part")[0].as_py()) << 40
+                number, opening = base - 1, {"head": start, "first_doc": int(doc[0])}
+            else:
+                twin[0] = before == (doc[0], digest[0], first[0])
+            run = number + np.cumsum(new)
+            begins = np.maximum.accumulate(np.where(new, np.arange(n), -1))
+            least_doc = np.where(begins >= 0, doc[begins], 0 if first_doc is None else first_doc)
+            # Which runs of this batch have a second document, here or already before.
+            low = int(run[0])
+            several = np.zeros(int(run[-1]) - low + 1, bool)
+            several[(run - low)[doc != least_doc]] = True
+            if not new[0]:
+                several[0] |= repeated
+            if not new[0] and several[0]:
+                yield from waiting
+            if new[0] or several[0] or run[-1] != low:
+                waiting = []
+            known = several[run - low] | (run == base)
+            once = new | ~twin
+            columns = [batch.column(c) for c in carried]
+            goes, waits = known & once, ~known & once & (run == run[-1])
+            if goes.any():
+                yield batch_of(run[goes], least_doc[goes], [c.filter(pa.array(goes)) for c in columns])
+            if waits.any():
+                waiting.append(batch_of(run[waits], least_doc[waits], [c.filter(pa.array(waits)) for c in columns]))
+            in_opening = doc[run == base]
+            if len(in_opening):
+                opening["last_doc"] = int(in_opening[-1])
+            head, number = heads[n - 1].as_py(), int(run[-1])
+            first_doc, repeated = int(least_doc[-1]), bool(several[-1])
+            before = (doc[-1], digest[-1], first[-1])
+        if number is None:
+            return
+        yield from waiting
+        ends = [(base, opening["first_doc"], opening["head"], opening["last_doc"])]
+        if number != base:
+            ends.append((number, first_doc, head, int(before[0])))
+        run, least_doc, words, last_doc = zip(*ends)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(run, pa.int64()), pa.array(least_doc, pa.int64()),
+                *(pa.nulls(len(ends), kind) for kind in kinds),
+                pa.array(words, pa.string()), pa.array(last_doc, pa.int64()),
+            ],
+            names=names,
+        )
+
+    rows = (
+        suffixes.repartitionByRange(*order)
+        .withColumn("part", F.spark_partition_id())
+        .sortWithinPartitions(*order)
+    )
+    return rows.mapInArrow(
+        task,
+        "run_id bigint, first_doc bigint, whole1 bigint, whole2 bigint, doc bigint, digest bigint, first int, "
+        "last int, head string, last_doc bigint",
+    )
+
+
+def _matched(suffixes: DataFrame) -> DataFrame:
+    """``(run_id, first_doc, whole1, whole2, doc, digest, first, last)``: suffixes that start like one of
+    another document; ``first_doc`` is the smallest document of the whole run."""
+    compared = stored(_compared(suffixes), "compared")
+    run = Window.partitionBy("head")
+    # Two rows for each partition at most.
+    borders = compared.where("head is not null").select(
+        F.col("run_id").alias("_run"),
+        F.min("run_id").over(run).alias("_whole"),
+        F.min("first_doc").over(run).alias("_first"),
+        F.max("last_doc").over(run).alias("_last"),
+    )
+    rows = compared.where("head is null").join(F.broadcast(borders), F.col("run_id") == F.col("_run"), "left")
+    return rows.where("_run is null or _first <> _last").select(
+        F.coalesce("_whole", "run_id").alias("run_id"), F.coalesce("_first", "first_doc").alias("first_doc"),
+        "whole1", "whole2", "doc", "digest", "first", "last",
+    )
 
 
 def _window_rows(docs: DataFrame, least: int, run: int) -> DataFrame:
-    """``(window, doc, digest, at)``: all windows in the ranges ``(first, last)`` of ``ranges``."""
-    make = _hashes(least, run)
+    """``(window1, window2, doc, digest, at)``: all windows in the ranges ``(first, last)`` of ``ranges``,
+    by a digest of their words."""
+    make = _tools(least, run)
 
     def task(batches):
         import numpy as np
         import pandas as pd
 
-        of, _, _ = make()
-        names = ["window", "doc", "digest", "at"]
+        cut, _, digests = make()
+        names = ["window1", "window2", "doc", "digest", "at"]
         for batch in batches:
             out, held = [], 0
             columns = (batch["doc"].tolist(), batch["digest"].tolist(), batch["text"], batch["ranges"])
             for doc, digest, text, ranges in zip(*columns):
-                _, _, windows = of(text)
+                _, line, places = cut(text)
                 at = np.unique(np.concatenate([np.arange(r["first"], r["last"] + 1) for r in ranges]))
                 n = len(at)
-                out.append((windows[at].view(np.int64), np.full(n, doc), np.full(n, digest), at.astype(np.int32)))
+                windows = digests(line[places[i] : places[i + least] - 1] for i in at.tolist())
+                out.append((windows[:, 0], windows[:, 1], np.full(n, doc), np.full(n, digest), at.astype(np.int32)))
                 held += n
                 if held > 200_000:
                     yield pd.DataFrame(dict(zip(names, map(np.concatenate, zip(*out)))))
@@ -168,7 +290,7 @@ def _window_rows(docs: DataFrame, least: int, run: int) -> DataFrame:
             if out:
                 yield pd.DataFrame(dict(zip(names, map(np.concatenate, zip(*out)))))
 
-    return docs.mapInPandas(task, "window bigint, doc bigint, digest bigint, at int")
+    return docs.mapInPandas(task, "window1 bigint, window2 bigint, doc bigint, digest bigint, at int")
 
 
 def _doc(key: str, text: str) -> Column:
@@ -189,34 +311,27 @@ def repeated_ranges(
     """``(doc, digest, start, stop, first_doc)``: overlapping ranges of words that at least two
     documents have; ``first_doc`` is the one in which they stay."""
     keyed = _keyed(docs, key, text)
+    # Stored, since a sort by range reads its rows twice.
     suffixes = stored(_suffix_rows(keyed, least, run), "suffixes")
-    groups = stored(
-        suffixes.groupBy("start").agg(
-            F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"),
-            (F.min("whole") == F.max("whole")).alias("alike"),
-        ).where("first_doc <> last_doc").select("start", "first_doc", "alike"),
-        "neighbours",
-    )
-    met = stored(
-        suffixes.join(groups, "start").select("doc", "digest", "first", "last", "first_doc", "alike"), "met"
-    )
-    whole = met.where("alike").select(
+    matched = stored(_matched(suffixes), "matched")
+    mixed = matched.groupBy("run_id").agg(
+        F.min("whole1").alias("a"), F.max("whole1").alias("b"), F.min("whole2").alias("c"), F.max("whole2").alias("d")
+    ).where("a <> b or c <> d").select("run_id", F.lit(True).alias("mixed"))
+    # Stored, so that the joins below have shuffles of their own, which the skew join can split.
+    met = stored(matched.join(mixed, "run_id", "left").drop("run_id", "whole1", "whole2"), "met")
+    whole = met.where("mixed is null").select(
         "doc", "digest", F.col("first").alias("start"), (F.col("last") + least).alias("stop"), "first_doc"
     )
     # One document may be there in several rows; its ranges are asked for once.
-    asked = (
-        met.where("not alike").groupBy("doc", "digest")
-        .agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
-    )
+    asked = met.where("mixed").groupBy("doc", "digest").agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
     # Repeated rows are one document, so any one of them will do.
     windows = stored(_window_rows(keyed.join(asked, ["doc", "digest"]), least, run), "windows")
-    # Stored, so that the join below has a shuffle of its own, which the skew join can split.
     shared = stored(
-        windows.groupBy("window").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
-        .where("first_doc <> last_doc").select("window", "first_doc"),
+        windows.groupBy("window1", "window2").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
+        .where("first_doc <> last_doc").select("window1", "window2", "first_doc"),
         "shared",
     )
-    single = windows.join(shared, "window").select(
+    single = windows.join(shared, ["window1", "window2"]).select(
         "doc", "digest", F.col("at").alias("start"), (F.col("at") + least).alias("stop"), "first_doc"
     )
     return whole.unionByName(single)
