@@ -317,7 +317,8 @@ def repeated_ranges(
     mixed = matched.groupBy("run_id").agg(
         F.min("whole1").alias("a"), F.max("whole1").alias("b"), F.min("whole2").alias("c"), F.max("whole2").alias("d")
     ).where("a <> b or c <> d").select("run_id", F.lit(True).alias("mixed"))
-    # Stored, so that the joins below have shuffles of their own, which the skew join can split.
+    # Stored, so that the joins have shuffles of their own, which the skew join can split.
+    mixed = stored(mixed, "mixed")
     met = stored(matched.join(mixed, "run_id", "left").drop("run_id", "whole1", "whole2"), "met")
     whole = met.where("mixed is null").select(
         "doc", "digest", F.col("first").alias("start"), (F.col("last") + least).alias("stop"), "first_doc"
