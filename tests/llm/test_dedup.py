@@ -194,12 +194,12 @@ def test_neighbours_in_small_batches(spark):
     rows = []
     for _ in range(600):
         doc = draw.randrange(40)
-        rows.append((f"h{draw.randrange(90)}", 1, 1, doc, doc % 3, draw.randrange(4), 9))
-    schema = "head string, whole1 bigint, whole2 bigint, doc bigint, digest bigint, first int, last int"
+        rows.append((f"h{draw.randrange(90)}", 1, doc, doc % 3, draw.randrange(4), 9))
+    schema = "head string, whole bigint, doc bigint, digest bigint, first int, last int"
     frame = spark.createDataFrame(rows, schema)
     wanted = defaultdict(set)
     for r in rows:
-        wanted[r[0]].add((r[3], r[4], r[5]))
+        wanted[r[0]].add((r[2], r[3], r[4]))
     wanted = {h: v for h, v in wanted.items() if len({x[0] for x in v}) > 1}
     try:
         for size in (1, 3, 500):

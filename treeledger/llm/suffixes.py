@@ -13,8 +13,8 @@ go no further.
 
 Matches are then extended to the left and right, as far as the windows reach that chose this suffix:
 
-* Each suffix carries a digest of all the words its windows cover. Where all of a run agree in it, they
-  match to both ends.
+* Each suffix carries a 64-bit digest of all the words its windows cover. Where all of a run, who start
+  alike, agree in it, they match to both ends.
 * Where they differ, the extension is made one word at a time: every window of these suffixes is
   compared.
 
@@ -24,7 +24,7 @@ and is cut from the others. A shared passage is therefore found to the word, and
 
 A passage may be in a third of all documents: the range sort cuts its run wherever the balance asks for
 it, groups are only ever counted (which combines before the shuffle) and joined with one row per group
-(which the skew join splits). Suffixes are compared by their words, extensions by 128-bit digests of the
+(which the skew join splits). Suffixes are compared by their words, windows by 128-bit digests of their
 words. In both, a word of over 64 bytes stands as its SHA-256, so that rows stay small.
 
 Defined results: null, empty and short texts (under ``least`` words) have no spans. Rows that repeat
@@ -96,8 +96,8 @@ def _tools(least: int, run: int):
 
 
 def _suffix_rows(docs: DataFrame, least: int, run: int) -> DataFrame:
-    """The kept suffixes: ``head``, the first words, ``whole1`` and ``whole2``, a digest of all that the
-    suffix's windows ``first`` to ``last`` cover, and the document."""
+    """The kept suffixes: ``head``, the first words, ``whole``, a digest of all that the suffix's windows
+    ``first`` to ``last`` cover, and the document."""
     make = _tools(least, run)
 
     def task(batches):
@@ -105,7 +105,7 @@ def _suffix_rows(docs: DataFrame, least: int, run: int) -> DataFrame:
         import pandas as pd
 
         cut, chosen, digests = make()
-        names = ["head", "whole1", "whole2", "doc", "digest", "first", "last"]
+        names = ["head", "whole", "doc", "digest", "first", "last"]
 
         def frame(out):
             heads = [h for row in out for h in row[0]]
@@ -128,7 +128,7 @@ def _suffix_rows(docs: DataFrame, least: int, run: int) -> DataFrame:
                 )
                 heads = [line[at[p] : at[p + run] - 1].decode("utf-8") for p in place.tolist()]
                 out.append((
-                    heads, whole[:, 0], whole[:, 1], np.full(n, doc), np.full(n, digest),
+                    heads, whole[:, 0], np.full(n, doc), np.full(n, digest),
                     first.astype(np.int32), last.astype(np.int32),
                 ))
                 held += n
@@ -139,7 +139,7 @@ def _suffix_rows(docs: DataFrame, least: int, run: int) -> DataFrame:
                 yield frame(out)
 
     return docs.mapInPandas(
-        task, "head string, whole1 bigint, whole2 bigint, doc bigint, digest bigint, first int, last int"
+        task, "head string, whole bigint, doc bigint, digest bigint, first int, last int"
     )
 
 
@@ -147,7 +147,7 @@ def _compared(suffixes: DataFrame) -> DataFrame:
     """Suffixes in order, each compared with the one before it; those go on whose run has a suffix of
     another document, or may have it beyond the partition's border.
 
-    ``(run_id, first_doc, whole1, whole2, doc, digest, first, last)``: ``run_id`` is the same for
+    ``(run_id, first_doc, whole, doc, digest, first, last)``: ``run_id`` is the same for
     suffixes of a partition that start alike, ``first_doc`` the smallest document of them there. Beside
     them, a row with ``head`` (null in the others) and ``last_doc`` tells of the first and of the last run
     of each partition. Rows are held only while a run has shown no second document: the suffixes of one
@@ -160,8 +160,8 @@ def _compared(suffixes: DataFrame) -> DataFrame:
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        carried = ["whole1", "whole2", "doc", "digest", "first", "last"]
-        kinds = [pa.int64()] * 4 + [pa.int32()] * 2
+        carried = ["whole", "doc", "digest", "first", "last"]
+        kinds = [pa.int64()] * 3 + [pa.int32()] * 2
         names = ["run_id", "first_doc", *carried, "head", "last_doc"]
 
         def batch_of(run, first_doc, columns):
@@ -239,13 +239,13 @@ def _compared(suffixes: DataFrame) -> DataFrame:
     )
     return rows.mapInArrow(
         task,
-        "run_id bigint, first_doc bigint, whole1 bigint, whole2 bigint, doc bigint, digest bigint, first int, "
-        "last int, head string, last_doc bigint",
+        "run_id bigint, first_doc bigint, whole bigint, doc bigint, digest bigint, first int, last int, "
+        "head string, last_doc bigint",
     )
 
 
 def _matched(suffixes: DataFrame) -> DataFrame:
-    """``(run_id, first_doc, whole1, whole2, doc, digest, first, last)``: suffixes that start like one of
+    """``(run_id, first_doc, whole, doc, digest, first, last)``: suffixes that start like one of
     another document; ``first_doc`` is the smallest document of the whole run."""
     compared = stored(_compared(suffixes), "compared")
     run = Window.partitionBy("head")
@@ -259,7 +259,7 @@ def _matched(suffixes: DataFrame) -> DataFrame:
     rows = compared.where("head is null").join(F.broadcast(borders), F.col("run_id") == F.col("_run"), "left")
     return rows.where("_run is null or _first <> _last").select(
         F.coalesce("_whole", "run_id").alias("run_id"), F.coalesce("_first", "first_doc").alias("first_doc"),
-        "whole1", "whole2", "doc", "digest", "first", "last",
+        "whole", "doc", "digest", "first", "last",
     )
 
 
@@ -313,13 +313,14 @@ def repeated_ranges(
     keyed = _keyed(docs, key, text)
     # Stored, since a sort by range reads its rows twice.
     suffixes = stored(_suffix_rows(keyed, least, run), "suffixes")
-    matched = stored(_matched(suffixes), "matched")
-    mixed = matched.groupBy("run_id").agg(
-        F.min("whole1").alias("a"), F.max("whole1").alias("b"), F.min("whole2").alias("c"), F.max("whole2").alias("d")
-    ).where("a <> b or c <> d").select("run_id", F.lit(True).alias("mixed"))
+    matched = _matched(suffixes)
+    mixed = (
+        matched.groupBy("run_id").agg(F.min("whole").alias("a"), F.max("whole").alias("b"))
+        .where("a <> b").select("run_id", F.lit(True).alias("mixed"))
+    )
     # Stored, so that the joins have shuffles of their own, which the skew join can split.
     mixed = stored(mixed, "mixed")
-    met = stored(matched.join(mixed, "run_id", "left").drop("run_id", "whole1", "whole2"), "met")
+    met = stored(matched.join(mixed, "run_id", "left").drop("run_id", "whole"), "met")
     whole = met.where("mixed is null").select(
         "doc", "digest", F.col("first").alias("start"), (F.col("last") + least).alias("stop"), "first_doc"
     )
