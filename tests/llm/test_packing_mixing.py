@@ -216,3 +216,17 @@ def test_words_are_encoded_as_in_the_tokenizer():
     wanted = coder.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
     wrong = [w for w, e in zip(words, wanted) if known[w] != np.array(e.ids, "<u4").tobytes()]
     assert len(known) == len(words) and not wrong, wrong[:10]
+
+
+def test_blocks_that_tokens_cross(spark, documents, data):
+    """Blocks make up the text; under every rule they add up to the tokens of the document."""
+    parts = documents.select("text", attribution.blocks(F.col("text"), 7).alias("parts")).collect()
+    for r in parts:
+        assert "".join(r["parts"]) == (r["text"] or "") and all(len(p) == 7 for p in r["parts"][:-1])
+    import __spark_entry__ as entry
+
+    rows = entry.queries()["op6_block_tokens"](spark, data)
+    sums = rows.groupBy("doc_id").agg(
+        F.sum("tokens").alias("sum"), F.max("doc_tokens").alias("all"), F.sum("n_crossing").alias("crossing")
+    ).collect()
+    assert all(abs(r["sum"] - r["all"]) < 1e-6 for r in sums) and sum(r["crossing"] for r in sums) > 0

@@ -41,6 +41,12 @@ def lines(text: Column) -> Column:
     return F.filter(parts, lambda p, i: (p != "") | (i == 0))
 
 
+def blocks(text: Column, size: int) -> Column:
+    """A text as blocks of ``size`` characters, the last one shorter; an empty text is one empty block."""
+    parts = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"(?s).{{1,{int(size)}}}"), F.lit(0))
+    return F.when(F.size(parts) > 0, parts).otherwise(F.array(F.lit("")))
+
+
 def attribute(
     rows: DataFrame, sections: Column, key: str = "doc_id", rule: str = "most", ranks: str | None = None,
     pattern: str | None = None,

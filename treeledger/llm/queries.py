@@ -63,6 +63,14 @@ def op6_token_counts(spark, folder):
     )
 
 
+def op6_block_tokens(spark, folder):
+    """Tokens of every block of 200 characters of all documents. Tokens do cross from block to block; they
+    are shared out by bytes."""
+    return attribution.attribute(
+        _table(spark, folder, "documents"), attribution.blocks(F.col("text"), 200), rule="share"
+    )
+
+
 def op7_quality_rules(spark, folder):
     """The ledger of all documents, and the verdict of the current policy."""
     rows = ledger.build_ledger(_table(spark, folder, "documents"))
@@ -132,6 +140,7 @@ QUERIES = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_mixing": op5_mixing,
     "op6_token_counts": op6_token_counts,
+    "op6_block_tokens": op6_block_tokens,
     "op7_quality_rules": op7_quality_rules,
     "op7_rule_ablation": op7_rule_ablation,
     "op8_url_filter": op8_url_filter,
