@@ -17,6 +17,7 @@ from treeledger.schema import (
     FOLDER,
     LOCAL,
 )
+from treeledger.sources.store import stored
 
 SERVICE_COLUMNS = [
     "service_id", "name", "kind", "root_path", "world", "root_id", "config_path", "load_order",
@@ -111,9 +112,14 @@ def resolve_requests(requests: DataFrame, services: DataFrame, sessions: DataFra
             F.col("_best.state").alias("_session_state"),
         )
     )
+    asked = requests.withColumns({"_via": via, "_key": key})
+    # Only services that are asked for, in a table whose size is known: requests name a few of many, and
+    # then need no shuffle to meet them.
+    found_by = stored(
+        _service_index(services).join(asked.select("_via", "_key").distinct(), ["_via", "_key"], "left_semi"), "asked"
+    )
     matched = (
-        requests.withColumns({"_via": via, "_key": key})
-        .join(_service_index(services), ["_via", "_key"], "left")
+        asked.join(found_by, ["_via", "_key"], "left")
         .join(known_sessions, F.col("session_id") == F.col("_session"), "left")
     )
 

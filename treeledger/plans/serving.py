@@ -17,10 +17,13 @@ def check_requests(
 ) -> DataFrame:
     """Resolved requests with their final status, the parent included. ``parent_id`` is the folder
     to list."""
-    resolved = resolve_requests(requests, services, sessions).withColumnRenamed(
-        "status", "_routing"
+    # Stored, since the parents are looked up by the same requests that are joined with them.
+    resolved = stored(
+        resolve_requests(requests, services, sessions).withColumnsRenamed(
+            {"status": "_routing", "target": "parent_id"}
+        ), "resolved",
     )
-    checked = validate_parents(resolved.withColumnRenamed("target", "parent_id"), nodes)
+    checked = validate_parents(resolved, nodes)
     return checked.withColumn(
         "status", F.when(F.col("_routing") != "ok", F.col("_routing")).otherwise(F.col("status"))
     ).drop("_routing", "message")

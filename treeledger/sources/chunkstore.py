@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from treeledger.schema import COPY_BUFFER_BYTES
-from treeledger.sources.store import stored
+from treeledger.sources.store import PACKED, stored
 
 KEY = ["world", "node_id"]
 # Bytes a bucket should hold; the most buckets a world gets.
@@ -111,7 +111,7 @@ def _write_version(rows: DataFrame, path: str, version: int) -> DataFrame:
     target = f"{path}/data/version={version}"
     (
         rows.select(*CHUNKS.fieldNames(), "bucket").hint("rebalance", "world", "bucket")
-        .write.mode("overwrite").partitionBy("world", "bucket").parquet(target)
+        .write.mode("overwrite").options(**PACKED).partitionBy("world", "bucket").parquet(target)
     )
     back = rows.sparkSession.read.schema(_DATA).parquet(f"{path}/data").where(F.col("version") == version)
     return back.groupBy("world", "bucket").agg(
