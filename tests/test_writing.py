@@ -248,3 +248,27 @@ def test_bucket_count_is_the_stores_own(spark, tmp_path):
     got = sorted((r.node_id, bytes(r.content)) for r in store.scan_contents(spark, path).collect())
     assert got == sorted((i, b"new" if i == "3" else b"old") for _, i, _ in rows)
     assert content.read_stored(changed.select("world", "node_id"), path).first().status == "ok"
+
+
+def test_upper_folders_of_wanted_paths_are_not_shuffled(spark, nodes, monkeypatch):
+    """What looks for files on the way moves no path along with its upper folders, which all share."""
+    before, plans = writing.stored, {}
+
+    def kept(rows, purpose):
+        back = before(rows, purpose)
+        plans[purpose] = rows._jdf.queryExecution().executedPlan().toString()
+        return back
+
+    monkeypatch.setattr(writing, "stored", kept)
+    wanted = spark.createDataFrame([("primary", f"/a/b{i % 9}/c{i}") for i in range(500)], "world string, path string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new, status = writing.create_folders(wanted, nodes)
+        assert status.count() == 500 and new.count() == new.distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The exploded steps meet the bitmaps before they are shuffled, and existing nodes too.
+    for purpose in ("blocked", "steps"):
+        assert "BroadcastHashJoin" in plans[purpose] and "LeftSemi" not in plans[purpose]
+    at = plans["blocked"].index("Generate explode")
+    assert plans["blocked"].rindex("Exchange hashpartitioning(world", 0, at) < plans["blocked"].rindex("BroadcastHashJoin", 0, at)

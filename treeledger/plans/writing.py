@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treeledger.functions import paths as P
+from treeledger.operators.sieve import sift
 from treeledger.schema import FILE, FOLDER, NODE_COLUMNS, PENDING_PREFIX
 from treeledger.sources.store import stored
 
@@ -12,28 +13,31 @@ def create_folders(wanted: DataFrame, nodes: DataFrame) -> tuple[DataFrame, Data
     """``(new nodes, status)`` for wanted folders ``(world, path)``.
 
     Missing ancestors are made too, existing folders are no error, and a path that runs through a
-    file is refused as ``not_folder`` without making anything for it. The distinct paths, and the
-    folders on the way to them, are stored since several steps use them.
+    file is refused as ``not_folder`` without making anything for it. The distinct paths, the
+    folders on the way to them and the refused paths are stored since several steps use them.
     """
     paths = stored(
         wanted.select("world", P.normalize_location(F.col("path")).alias("path")).distinct(), "paths"
     )
     step = F.explode(P.prefixes(F.col("path"))).alias("step")
     steps = paths.select("world", "path", step)
+    # Nothing is made in a file, so that the ids of files are not needed.
     existing = nodes.select(
         "world", F.col("location_path").alias("step"), F.col("type").alias("_type"),
-        F.col("node_id").alias("_id"),
+        F.when(~F.col("type").eqNullSafe(F.lit(FILE)), F.col("node_id")).alias("_id"),
     )
-    # Existing nodes meet the steps before anything else, so that a few steps do not shuffle all nodes.
+    # Nodes off the way are dropped first, so that a few steps do not shuffle all nodes.
     places = stored(steps.select("world", "step").distinct(), "places")
     known = stored(
-        places.join(existing.join(places, ["world", "step"], "left_semi"), ["world", "step"], "left"), "steps"
+        places.join(sift(existing, places, ["world", "step"]), ["world", "step"], "left"), "steps"
     )
 
-    blocked = (
-        steps.join(known.where(F.col("_type") == FILE), ["world", "step"])
-        .select("world", "path")
-        .distinct()
+    # Steps that are no file are dropped before the join: of every path, its upper folders, which are
+    # shared by so many paths that they would come together in a few tasks.
+    files = known.where(F.col("_type") == FILE).select("world", "step")
+    blocked = stored(
+        sift(steps, files, ["world", "step"]).join(files, ["world", "step"])
+        .select("world", "path").distinct(), "blocked",
     )
     is_there = known.where(F.col("_type") == FOLDER).select(
         "world", F.col("step").alias("path"), F.lit(True).alias("_there")
@@ -56,7 +60,7 @@ def create_folders(wanted: DataFrame, nodes: DataFrame) -> tuple[DataFrame, Data
     made = allowed.join(missing, ["world", "step"], "left_semi").withColumn(
         "parent_path", P.parent_location(F.col("step"))
     )
-    parents = known.select(
+    parents = known.where(F.col("_id").isNotNull()).select(
         "world", F.col("step").alias("parent_path"), F.col("_id").alias("_parent_id")
     )
     new_parent = F.when(
