@@ -272,3 +272,40 @@ def test_upper_folders_of_wanted_paths_are_not_shuffled(spark, nodes, monkeypatc
         assert "BroadcastHashJoin" in plans[purpose] and "LeftSemi" not in plans[purpose]
     at = plans["blocked"].index("Generate explode")
     assert plans["blocked"].rindex("Exchange hashpartitioning(world", 0, at) < plans["blocked"].rindex("BroadcastHashJoin", 0, at)
+
+
+def test_only_staying_bytes_are_shuffled(spark):
+    from treeledger.sources.store import staying
+
+    rows = [("w", f"n{i}", bytes([i])) for i in range(9)] + [("w", None, b"x"), (None, "n1", b"y"), (None, None, b"z")]
+    contents = spark.createDataFrame(rows, "world string, node_id string, content binary").repartition(3)
+    ids = spark.createDataFrame([("w", "n1"), ("w", "n2"), ("w", "n2"), (None, "n3"), ("w", None)], "world string, node_id string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = staying(contents, ids)
+        got = kept.collect()
+        plan = kept._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    gone = {("w", "n1"), ("w", "n2")}
+    assert sorted(map(repr, ((r.world, r.node_id, bytes(r.content)) for r in got))) == sorted(
+        repr(r) for r in rows if r[:2] not in gone)
+    assert "LeftAnti" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_bytes_of_lost_writes_are_not_shuffled(spark, nodes):
+    from treeledger.streaming import content
+
+    writes = spark.createDataFrame(
+        [("w", "f", i, b"%d" % i) for i in range(20)] + [("w", "gone", 0, b"x"), ("w", None, 1, b"y")],
+        "world string, node_id string, write_seq bigint, content binary",
+    ).repartition(3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        done = content.overwrite_files(writes, nodes)
+        assert [(r.node_id, bytes(r.content)) for r in done.contents.collect()] == [("f", b"19")]
+        plan = done.contents._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan
+    assert {r.status for r in done.status.collect()} == {"superseded", "written", "not_found"}

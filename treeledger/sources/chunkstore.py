@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from treeledger.schema import COPY_BUFFER_BYTES
-from treeledger.sources.store import PACKED, stored
+from treeledger.sources.store import PACKED, staying, stored
 
 KEY = ["world", "node_id"]
 # Bytes a bucket should hold; the most buckets a world gets.
@@ -173,7 +173,7 @@ def replace_chunks(spark: SparkSession, path: str, chunks: DataFrame, gone: Data
     new = stored(_with_bucket(chunks.select(*CHUNKS.fieldNames()), buckets), "changed")
     ids = new.select(*KEY).distinct()
     ids = stored(ids if gone is None else ids.unionByName(gone.select(*KEY)).distinct(), "ids")
-    kept = near_chunks(spark, path, ids).select(*new.columns).join(ids, KEY, "left_anti")
+    kept = staying(near_chunks(spark, path, ids).select(*new.columns), ids)
     held = _write_version(kept.unionByName(new), path, version + 1)
     touched = _with_bucket(ids, buckets).select("world", "bucket").distinct()
     change = uuid.uuid4().hex

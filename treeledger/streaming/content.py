@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treeledger.functions import paths as P
+from treeledger.operators.sieve import sift
 from treeledger.schema import CONTENTS, FILE, NODE_COLUMNS, byte_length
 from treeledger.sources.store import in_buckets, scan_contents, stored, stored_buckets, with_bucket
 
@@ -142,8 +143,8 @@ def overwrite_files(writes: DataFrame, nodes: DataFrame) -> Written:
         writes.select(*CONTENT_KEY, "write_seq", byte_length(writes).alias("_bytes")), "attempts"
     )
     latest = attempts.groupBy(*CONTENT_KEY).agg(F.max("write_seq").alias("_latest"))
-    # Nodes nobody writes to are dropped first: by a broadcast of the ids, where these are few.
-    named = nodes.join(attempts.select(*CONTENT_KEY).distinct(), CONTENT_KEY, "left_semi")
+    # Nodes nobody writes to are dropped first, without a shuffle of all nodes.
+    named = sift(nodes, attempts, CONTENT_KEY)
     targets = latest.join(named, CONTENT_KEY, "left").select(
         *CONTENT_KEY, "_latest", F.struct(*NODE_COLUMNS).alias("_node")
     )
@@ -163,7 +164,9 @@ def overwrite_files(writes: DataFrame, nodes: DataFrame) -> Written:
     changed = won.select("_node", "_bytes").select("_node.*", "_bytes").withColumns({
         "size": F.col("_bytes").cast("bigint"), "last_updated": F.current_timestamp(),
     })
-    new_contents = writes.join(won.select(*CONTENT_KEY, "write_seq"), [*CONTENT_KEY, "write_seq"])
+    # Bytes that lost are dropped before the others are shuffled.
+    write_key = [*CONTENT_KEY, "write_seq"]
+    new_contents = sift(writes, won, write_key).join(won.select(*write_key), write_key)
     return Written(
         changed.select(*NODE_COLUMNS),
         new_contents.select(*CONTENTS.fieldNames()),
