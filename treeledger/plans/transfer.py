@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treeledger.functions import paths as P
+from treeledger.operators.sieve import sift
 from treeledger.plans.copying import plan_between
 from treeledger.plans.writing import create_folders
 from treeledger.schema import COPY_BUFFER_BYTES, FILE, FOLDER, NODE_COLUMNS
@@ -61,7 +62,8 @@ class Store(NamedTuple):
         )
         *_, own = chunkstore.current(self.spark, self.path)
         data = chunkstore.near_chunks(self.spark, self.path, asked)
-        there = asked.join(data, chunkstore.KEY)
+        # Bytes of files that nobody asks for are dropped before the others are shuffled.
+        there = asked.join(sift(data, asked, chunkstore.KEY), chunkstore.KEY)
         if own != chunk:  # cut at this store's borders and at the other's
             first, last = F.expr(f"start_byte div {chunk}"), F.expr(f"(start_byte + greatest(length, 1) - 1) div {chunk}")
             begin = F.greatest(F.col("start_byte"), F.col("_no") * chunk)
