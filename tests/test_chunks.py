@@ -176,6 +176,66 @@ def test_lost_writes_and_existing_only(spark, tmp_path, monkeypatch):
     assert [r["status"] for r in real(spark, manifest, str(root)).collect()] == ["lost"]
 
 
+def test_new_files_are_linked_to_their_place(tmp_path, monkeypatch):
+    place, renamed, rename, link = tree._placer(), [], os.replace, os.link
+    monkeypatch.setattr(os, "replace", lambda a, b: (renamed.append(os.path.basename(b)), rename(a, b))[1])
+    (tmp_path / "in").mkdir()
+    new, old = tmp_path / "in" / "new", tmp_path / "in" / "old"
+    old.write_bytes(b"old")
+
+    def stage(name):
+        staged = tmp_path / name
+        staged.write_bytes(name.encode())
+        return staged
+
+    place(str(stage("a")), str(new))
+    assert renamed == [] and new.read_bytes() == b"a" and new.stat().st_nlink == 1
+    place(str(stage("b")), str(old))
+    assert renamed == ["old"] and old.read_bytes() == b"b"
+    # A run that ended after the link: the next one clears the staged name and keeps the file.
+    link(new, tmp_path / "c")
+    place(str(tmp_path / "c"), str(new))
+    assert new.read_bytes() == b"a" and not (tmp_path / "c").exists()
+    # A folder in the way, nothing staged, and a mount without links.
+    with pytest.raises(IsADirectoryError):
+        place(str(stage("d")), str(tmp_path / "in"))
+    with pytest.raises(FileNotFoundError):
+        place(str(tmp_path / "none"), str(tmp_path / "in" / "x"))
+
+    def refuse(*_):
+        raise PermissionError(1, "no links")
+
+    monkeypatch.setattr(os, "link", refuse)
+    place(str(stage("e")), str(tmp_path / "in" / "e"))
+    assert (tmp_path / "in" / "e").read_bytes() == b"e" and sorted(os.listdir(tmp_path)) == ["d", "in"]
+
+
+def test_commit_again_after_a_link(spark, tmp_path):
+    (tmp_path / "t" / "in").mkdir(parents=True)
+    staged, final = tmp_path / "staged", tmp_path / "t" / "in" / "f"
+    staged.write_bytes(b"data")
+    os.link(staged, final)
+    manifest = str(tmp_path / "manifest")
+    spark.createDataFrame([("/in/f", str(staged), 0, 4, staged.stat().st_ino)],
+                          "location_path string, staged string, start_byte bigint, length bigint, inode bigint").write.parquet(manifest)
+    for _ in range(2):
+        assert [r["status"] for r in tree.commit_tree(spark, manifest, str(tmp_path / "t")).collect()] == ["written"]
+        assert final.read_bytes() == b"data" and not staged.exists()
+
+
+def test_pieces_of_files_that_take_turns(spark, tmp_path):
+    data = {"/a/x": b"0123456789", "/a/y": b"abcdefghij", "/z": b""}
+    pieces = [(k, v[i:i + 3], i) for i in (0, 6, 3, 9) for k, v in data.items() if i < len(v)] + [("/z", b"", 0)]
+    rows = spark.createDataFrame(pieces, "location_path string, content binary, start_byte bigint").coalesce(1)
+    assert {(r["location_path"], r["size"], r["status"]) for r in tree.write_tree(rows, str(tmp_path / "t")).collect()} == {
+        (k, len(v), "written") for k, v in data.items()}
+    files = [(str(tmp_path / "t") + k, k, len(v)) for k, v in data.items()] + [(str(tmp_path / "t/a/xx"), "/a/xx", 5)]
+    back = tree.read_chunks(spark.createDataFrame(files, "node_id string, location_path string, size bigint").coalesce(1), 4).collect()
+    assert {r["location_path"]: r["status"] for r in back} == {"/a/x": "ok", "/a/xx": "not_found", "/a/y": "ok", "/z": "ok"}
+    for k, v in data.items():
+        assert b"".join(r["content"] for r in sorted(back, key=lambda r: r["start_byte"]) if r["location_path"] == k) == v
+
+
 def test_scan_errors(spark, tmp_path):
     (tmp_path / "ok").mkdir()
     (tmp_path / "ok" / "f").write_bytes(b"1")

@@ -180,25 +180,35 @@ def read_chunks(files: DataFrame, buffer: int = 0) -> DataFrame:
     limit = BATCH_BYTES
 
     def read(batches):
-        for batch in batches:
-            first, held, contents, states = 0, 0, [], []
-            spans = zip(batch["node_id"], batch["start_byte"], batch["length"])
-            for at, (path, start_byte, length) in enumerate(spans, 1):
-                content, state = None, "ok"
-                try:
-                    with open(path, "rb") as source:
+        source, last = None, None
+        try:
+            for batch in batches:
+                first, held, contents, states = 0, 0, [], []
+                spans = zip(batch["node_id"], batch["start_byte"], batch["length"])
+                for at, (path, start_byte, length) in enumerate(spans, 1):
+                    content, state = None, "ok"
+                    try:
+                        # Pieces of a file mostly follow each other: it stays open for the next one.
+                        if source is None or path != last:
+                            if source is not None:
+                                source.close()
+                            source = None
+                            source, last = open(path, "rb"), path
                         source.seek(int(start_byte))
                         content = source.read(int(length))
-                    if len(content) < length:
-                        state = "short_read"
-                except OSError:
-                    state = "not_found"
-                contents.append(content)
-                states.append(state)
-                held += len(content or b"")
-                if held >= limit or at == len(batch):
-                    yield batch.iloc[first:at].assign(content=contents, status=states)
-                    first, held, contents, states = at, 0, [], []
+                        if len(content) < length:
+                            state = "short_read"
+                    except OSError:
+                        state = "not_found"
+                    contents.append(content)
+                    states.append(state)
+                    held += len(content or b"")
+                    if held >= limit or at == len(batch):
+                        yield batch.iloc[first:at].assign(content=contents, status=states)
+                        first, held, contents, states = at, 0, [], []
+        finally:
+            if source is not None:
+                source.close()
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plan.schema.fields)
     return plan.mapInPandas(read, f"{fields}, content binary, status string")
@@ -243,21 +253,35 @@ def write_tree(rows: DataFrame, root: str, create: bool = True) -> DataFrame:
     def stage(batches):
         import os
 
+        def opened(staged):
+            try:
+                return os.open(staged, os.O_WRONLY | os.O_CREAT, 0o644)
+            except FileNotFoundError:
+                os.makedirs(os.path.dirname(staged), exist_ok=True)
+                return os.open(staged, os.O_WRONLY | os.O_CREAT, 0o644)
+
         for batch in batches:
             lengths, inodes = [], []
-            for staged, start_byte, content in zip(
-                batch["staged"], batch["start_byte"], batch["content"]
-            ):
-                os.makedirs(os.path.dirname(staged), exist_ok=True)
-                handle = os.open(staged, os.O_WRONLY | os.O_CREAT, 0o644)
-                try:
-                    inodes.append(os.fstat(handle).st_ino)
+            handle, last = None, None
+            try:
+                for staged, start_byte, content in zip(
+                    batch["staged"], batch["start_byte"], batch["content"]
+                ):
+                    # Pieces of a file mostly follow each other: it stays open for the next one.
+                    if handle is None or staged != last:
+                        if handle is not None:
+                            done, handle = handle, None
+                            os.close(done)
+                        handle, last = opened(staged), staged
+                        inode = os.fstat(handle).st_ino
+                    inodes.append(inode)
                     view, at = memoryview(content or b""), int(start_byte)
                     lengths.append(len(view))
                     while view:
                         done = os.pwrite(handle, view, at)
                         view, at = view[done:], at + done
-                finally:
+            finally:
+                if handle is not None:
                     os.close(handle)
             kept = ["location_path", "staged", "start_byte", "planned_size", "problem"]
             yield batch[kept].astype({"planned_size": "Int64"}).assign(length=lengths, inode=inodes)
@@ -282,6 +306,36 @@ def write_tree(rows: DataFrame, root: str, create: bool = True) -> DataFrame:
     return status
 
 
+def _placer():
+    def place(staged, final):
+        """Move a staged file to its place.
+
+        A rename between two folders waits for all others on the filesystem, a link only for those into its
+        folder. So a new file is linked to its place and then leaves the staging; one that takes the place of
+        another is renamed, in one step.
+        """
+        import os
+
+        try:
+            os.link(staged, final)
+        except FileExistsError:
+            # The same file was linked by a run that did not come to the next step.
+            if not (os.path.isfile(final) and os.path.samefile(staged, final)):
+                os.replace(staged, final)
+                return
+        except (FileNotFoundError, NotADirectoryError):
+            raise
+        except OSError:  # a mount without links
+            os.replace(staged, final)
+            return
+        try:
+            os.unlink(staged)
+        except FileNotFoundError:  # another attempt of this task took it out
+            pass
+
+    return place
+
+
 def commit_tree(spark: SparkSession, manifest: str, root: str, create: bool = True) -> DataFrame:
     """Move the staged files of a manifest to their place below ``root``; safe to run again: a file that
     an earlier run moved is known by its inode (by its size, where a manifest names no inode). One that is
@@ -328,6 +382,8 @@ def commit_tree(spark: SparkSession, manifest: str, root: str, create: bool = Tr
         .select(*file, "size", "inode", whole.alias("whole"), F.coalesce("problem", F.lit("incomplete")).alias("refusal"))
     )
 
+    place = _placer()
+
     def move(batches):
         import os
 
@@ -349,8 +405,11 @@ def commit_tree(spark: SparkSession, manifest: str, root: str, create: bool = Tr
                     if not create and not os.path.isfile(final):
                         outcome.append("not_found")
                         continue
-                    os.makedirs(os.path.dirname(final), exist_ok=True)
-                    os.replace(staged, final)
+                    try:
+                        place(staged, final)
+                    except (FileNotFoundError, NotADirectoryError):
+                        os.makedirs(os.path.dirname(final), exist_ok=True)
+                        place(staged, final)
                     outcome.append("written")
                 except FileNotFoundError:
                     outcome.append("lost")
