@@ -118,6 +118,45 @@ def test_shares_of_work(spark):
     assert len(rows) == 321 and max(r["bytes"] for r in rows) <= copying.TASK_BYTES + (8 << 20)
 
 
+def test_files_in_line(spark):
+    # Equal and missing ids, missing sizes, and columns that are only carried, over several partitions.
+    rows = [(None if i % 50 == 0 else f"f{i * 7919 % 300:03d}", None if i % 4 == 0 else i * i, {"n": str(i)}) for i in range(1000)]
+    files = spark.createDataFrame(rows, "node_id string, size bigint, more map<string,string>").repartition(4)
+    line = sorted(copying.in_line(files).collect(), key=lambda r: r["file_no"])
+    assert [r["file_no"] for r in line] == list(range(1000))
+    assert [r["node_id"] or "" for r in line] == sorted(x[0] or "" for x in rows)
+    assert sorted(r["more"]["n"] for r in line) == sorted(str(i) for i in range(1000))
+    start = 0
+    for r in line:
+        assert r["line_start"] == start
+        start += (r["size"] or 0) + copying.FILE_BYTES
+    assert copying.in_line(files.limit(0)).count() == 0
+    # Pieces of files in line are the same as of files that are not, and only the former keep their numbers.
+    unique = spark.createDataFrame([(f"f{i * 7919 % 1000:03d}", i * i) for i in range(1000)], "node_id string, size bigint")
+    plain, numbered = (copying.balanced_pieces(x, 9000, 1 << 20) for x in (unique, copying.in_line(unique)))
+    assert plain.columns == ["node_id", "size", "chunk_no", "start_byte", "length", "task"]
+    assert sorted(plain.collect()) == sorted(numbered.select(*plain.columns).collect())
+    # Beyond 2^53, weights are still divided as whole numbers: the second file begins one byte before the border.
+    w = 1 << 55
+    large = spark.createDataFrame([("a", w - 1 - copying.FILE_BYTES), ("b", w + 1 - copying.FILE_BYTES)], "node_id string, size bigint")
+    assert {(r["node_id"], r["task"]) for r in copying.balanced_pieces(large, 1 << 60, w).collect()} == {("a", 0), ("b", 0)}
+
+
+def test_pieces_stay_where_they_are_made(spark, data):
+    from treeledger.content_queries import balanced_pieces
+
+    def plan(rows):
+        return rows._jdf.queryExecution().executedPlan().toString()
+
+    # Files meet the totals of their partition where they are stored; no window brings them together once more.
+    files = spark.createDataFrame([("a", 5), ("b", 7)], "node_id string, size bigint")
+    pieces = plan(copying.balanced_pieces(files))
+    assert "hashpartitioning(_part" not in pieces.split("BroadcastExchange")[0] and "MapInArrow" not in pieces
+    # Pieces are counted as they are made. A sort of them would go to disk.
+    shares = plan(balanced_pieces(spark, data))
+    assert "explode" in shares and "HashAggregate" in shares and "SortAggregate" not in shares
+
+
 def node(world, path, kind, size=None):
     from treeledger.functions import paths  # noqa: F401
     import hashlib
